@@ -139,15 +139,19 @@ def one_hot(df: DataFrame, categories: dict[str, list[str | None]]) -> DataFrame
     """
     keep = [F.col(c) for c in df.columns if c not in categories]
     encoded = [
-        F.col(c).eqNullSafe(F.lit(v)).cast("int").alias(f"{c}_{v}")
+        F.col(c).eqNullSafe(F.lit(v)).cast("int").alias(encoded_name(c, v))
         for c, values in categories.items()
         for v in values[1:]
     ]
     return df.select(*keep, *encoded)
 
 
+def encoded_name(column: str, value: str | None) -> str:
+    return f"{column}_null" if value is None else f"{column}_{value}"
+
+
 def encoded_names(categories: dict[str, list[str | None]]) -> list[str]:
-    return [f"{c}_{v}" for c, values in categories.items() for v in values[1:]]
+    return [encoded_name(c, v) for c, values in categories.items() for v in values[1:]]
 
 
 def ordered_features(df: DataFrame, order: list[str]) -> DataFrame:
