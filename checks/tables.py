@@ -1,5 +1,7 @@
 """Clinic tables for Spark from a folder of driver tables."""
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from steadycare.plans.care import Care
@@ -8,12 +10,28 @@ from steadycare.sources.staging import stage
 from .views import END, START, TABLES, VIEWS
 
 
-def clinic_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The seven raw tables. Each view is planned over its own parquet scan."""
-    parts = {t: spark.read.parquet(f"{folder}/{t}.parquet") for t in TABLES}
-    return {
-        name.removeprefix("x_"): spark.sql(_inline(sql, parts), **parts) for name, sql in VIEWS.items()
-    }
+class ClinicTables(Mapping):
+    """The seven raw tables, each planned when it is first asked for, over its own parquet scans."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._spark, self._folder, self._built = spark, folder, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            sql = VIEWS[f"x_{name}"]
+            parts = {
+                t: self._spark.read.parquet(f"{self._folder}/{t}.parquet")
+                for t in TABLES
+                if f" {t}" in sql
+            }
+            self._built[name] = self._spark.sql(_inline(sql, parts), **parts)
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return (name.removeprefix("x_") for name in VIEWS)
+
+    def __len__(self) -> int:
+        return len(VIEWS)
 
 
 def _inline(sql: str, parts: dict[str, DataFrame]) -> str:
@@ -28,7 +46,7 @@ def _inline(sql: str, parts: dict[str, DataFrame]) -> str:
 
 
 def care(spark: SparkSession, folder: str, staged: bool = True) -> Care:
-    tables = clinic_tables(spark, folder)
+    tables = ClinicTables(spark, folder)
     if staged:
         return Care(tables, START, END, stage)
     return Care(tables, START, END, lambda df, name: df)
