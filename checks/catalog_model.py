@@ -278,11 +278,11 @@ def encoded_split(c):
     parts = sp.refresh_split(rows, REFRESH)
     encoder = md.fit_encoder(rows, parts.filter("slice = 'train'"))
     encoded = c.stage(encoder.apply(parts), "encoded")
-    return encoder, encoded.filter("slice = 'train'"), encoded.filter("slice = 'val'")
+    return rows, encoder, encoded.filter("slice = 'train'"), encoded.filter("slice = 'val'")
 
 
 def _fit(c, trainer):
-    encoder, train, val = encoded_split(c)
+    _, encoder, train, val = encoded_split(c)
     return encoder, md.TRAINERS[trainer](train, val, **TREES[trainer]), val
 
 
@@ -413,10 +413,10 @@ def risk_factors(c):
 
 @query("key visitdate nad sitecode score:r pred_cat months_on_art:r evaluation_date", staged=True)
 def batch_score(c):
-    encoder, train, val = encoded_split(c)
+    rows, encoder, train, val = encoded_split(c)
     model = md.gbt(train, val, **TREES["gbt"])
-    scored = md.predict(model, val)
-    found = c.stage(ev.site_thresholds(c.features, c.stage(scored, "scored")), "thresholds")
+    scored = c.stage(md.predict(model, val), "scored")
+    found = c.stage(ev.site_thresholds(rows, scored), "thresholds")
     scorer = sc.model_scorer(model, encoder)
     return flat(sc.batch_score(c.features, scorer, found, EMR_ALLOW, EMR_POSITIVE))
 

@@ -5,10 +5,19 @@ from collections.abc import Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from steadycare.plans.care import Care
+from steadycare.sources.readers import spread
 from steadycare.sources.staging import stage
 
 from .views import END, START, TABLES, VIEWS
 
+# Columns of the big tables that the views use: an exchange keeps all columns it is given.
+NEEDED = {
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"],
+    "lineitem": [
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate",
+    ],
+}
+
 
 class ClinicTables(Mapping):
     """The seven raw tables, each planned when it is first asked for, over its own parquet scans."""
@@ -20,13 +29,17 @@ class ClinicTables(Mapping):
         if name not in self._built:
             sql = VIEWS[f"x_{name}"]
             parts = {
-                t: self._spark.read.parquet(f"{self._folder}/{t}.parquet")
+                t: self._read(t)
                 for t in TABLES
                 if f" {t}" in sql
             }
             self._built[name] = self._spark.sql(_inline(sql, parts), **parts)
         return self._built[name]
 
+    def _read(self, table: str) -> DataFrame:
+        df = self._spark.read.parquet(f"{self._folder}/{table}.parquet")
+        return spread(df.select(*NEEDED[table])) if table in NEEDED else df
+
     def __iter__(self) -> Iterator[str]:
         return (name.removeprefix("x_") for name in VIEWS)
 
