@@ -269,8 +269,8 @@ def f_breastfeeding(c):
 
 @query("key visitdate height:r weight:r age:r bmi", """select b.*, f.bmi from o_vbody b join o_visit_features f using (key, visitdate)""")
 def f_bmi(c):
-    band = clinical.bmi_band(F.col("height"), F.col("weight"), F.col("age"))
-    return aged(c).withColumn("bmi", band)
+    mass = clinical.body_mass(F.col("height"), F.col("weight"), F.col("age"))
+    return aged(c).withColumn("bmi", mass).withColumn("bmi", clinical.bmi_band(F.col("bmi"), F.col("age")))
 
 
 @query("key visitdate maritalstatus", "o_demographics")

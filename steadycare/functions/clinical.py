@@ -24,7 +24,7 @@ def adherence(value: Column) -> Column:
     """1 for good, 0 for fair or poor (text before the first pipe), null for anything else."""
     head = F.substring_index(F.lower(value), "|", 1)
     digits = F.regexp_replace(F.replace(head, F.lit("good"), F.lit("1")), "fair|poor", "0")
-    return F.when(digits.isin("1", "0"), digits.try_cast("int"))
+    return F.regexp_extract(digits, "^[01]$", 0).try_cast("int")
 
 
 def unscheduled(value: Column) -> Column:
@@ -73,9 +73,13 @@ def reproductive_missing(status: Column, age: Column, sex: Column) -> Column:
     return flag(status.isNull() & may_be_pregnant(age, sex))
 
 
-def bmi_band(height: Column, weight: Column, age: Column) -> Column:
+def body_mass(height: Column, weight: Column, age: Column) -> Column:
+    """Body-mass index from 15 years on, where height and weight are plausible."""
     valid = height.between(*HEIGHT_RANGE) & weight.between(*WEIGHT_RANGE)
-    bmi = F.when(valid & (age >= 15), weight / ((height / 100) * (height / 100)))
+    return F.when(valid & (age >= 15), weight / ((height / 100) * (height / 100)))
+
+
+def bmi_band(bmi: Column, age: Column) -> Column:
     band = F.when(age < 15, F.lit(UNDER_15))
     for upper, label in BMI_BANDS:
         band = band.when(bmi < upper, F.lit(label))

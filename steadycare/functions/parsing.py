@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 WHITESPACE = " \t\n\r\x0b\x0c"
 DATE_SHAPE = r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}$"
-NUMBER_SHAPE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+NUMBER_SHAPE = r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)\s*$"
 
 
 def parse_date(value: Column) -> Column:
@@ -15,13 +15,12 @@ def parse_date(value: Column) -> Column:
     The shape test comes first because a plain cast also accepts a bare year and trailing text.
     """
     head = F.substring(value.cast("string"), 1, 10)
-    return F.when(head.rlike(DATE_SHAPE), head.try_cast("date"))
+    return F.regexp_extract(head, DATE_SHAPE, 0).try_cast("date")
 
 
 def parse_number(value: Column) -> Column:
     """Double, or null for anything that is not a plain decimal number (so never NaN or infinity)."""
-    text = value.cast("string")
-    return F.when(text.rlike(NUMBER_SHAPE), F.btrim(text, F.lit(WHITESPACE)).try_cast("double"))
+    return F.regexp_extract(value.cast("string"), NUMBER_SHAPE, 1).try_cast("double")
 
 
 def parse_integer(value: Column) -> Column:

@@ -14,6 +14,12 @@ PERSON_COLUMNS = [
     "sex", "maritalstatus", "educationlevel", "occupation", "artoutcomedescription",
     "startartdate", "dob",
 ]
+# What later steps read of a visit besides its key and dates, in the order that breaks ties.
+VISIT_INPUTS = [
+    "sitecode", "visittype", "visitby", "tcareason", "pregnant", "breastfeeding",
+    "stabilityassessment", "differentiatedcare", "whostage", "height", "weight", "emr", "adherence",
+    "currentregimen",
+]
 LAB_GROUP = ["key", "orderedbydate", "testname"]
 
 
@@ -137,16 +143,31 @@ def visit_records(raw: DataFrame, start: str, end: str) -> DataFrame:
 
 
 def daily_visits(raw: DataFrame, start: str, end: str) -> DataFrame:
+    """One visit per patient and day.
+
+    Columns that later steps read break ties before any others, so leaving the others out beforehand
+    does not change what is kept of the rest. The patient code is fixed by key and site.
+    """
     records = visit_records(raw, start, end)
-    ties = [c for c in records.columns if c not in ("key", "visitdate", "nextappointmentdate")]
-    return one_per_day(records, "visitdate", "nextappointmentdate", ties)
+    settled = {"key", "visitdate", "nextappointmentdate", "patientpkhash", *VISIT_INPUTS}
+    first = [c for c in VISIT_INPUTS if c in records.columns]
+    others = [c for c in records.columns if c not in settled]
+    return one_per_day(records, "visitdate", "nextappointmentdate", first + others)
+
+
+def visit_inputs(raw: DataFrame) -> DataFrame:
+    """The columns of raw visits that features are made of."""
+    df = lower_names(raw)
+    wanted = ["patientpkhash", "visitdate", "nextappointmentdate", *VISIT_INPUTS]
+    return df.select(*[c for c in wanted if c in df.columns])
 
 
 def clean_visits(raw: DataFrame, people: DataFrame, start: str, end: str) -> DataFrame:
     """Cleaned visits of known patients with their demographics and an imputed due date.
 
     Demographics are constant per key, so joining them after the daily reduction gives the same rows
-    and shuffles far fewer.
+    and shuffles far fewer. They are hashed per partition: visits have to be partitioned by key for
+    the window anyway, and are then sorted once instead of for the join and again for the window.
     """
-    joined = daily_visits(raw, start, end).join(clean_people(people), "key")
+    joined = daily_visits(raw, start, end).join(clean_people(people).hint("shuffle_hash"), "key")
     return impute_due(joined, "visitdate", "nextappointmentdate")

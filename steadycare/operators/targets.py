@@ -120,7 +120,8 @@ def before_last(contacts: DataFrame) -> DataFrame:
 
 def labelled_contacts(visits: DataFrame, pharmacy: DataFrame, people: DataFrame) -> DataFrame:
     merged = merge_contacts(stack_contacts(visits, pharmacy))
-    return return_difference(due_never_earlier(merged)).join(outcomes(people), "key", "left")
+    known = outcomes(people).hint("shuffle_hash")  # one row per key, partitioned like the contacts
+    return return_difference(due_never_earlier(merged)).join(known, "key", "left")
 
 
 def create_targets(

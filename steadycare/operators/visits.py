@@ -36,22 +36,33 @@ def regimen_switch():
 
 
 def visit_features(clean: DataFrame) -> DataFrame:
+    """Recoded visits of patients with a valid age.
+
+    Three projections on purpose: what is used more than once is a column before it is used, so it is
+    computed once and each generated method stays small enough to be compiled.
+    """
     df = map_strings(clean, blank_to_null, skip=("key",))
-    df = with_age(
+    aged = with_age(
         df.withColumns({c: parse_date(F.col(c)) for c in ("dob", "startartdate")})
     ).withColumn("sex", clinical.sex_flag(F.col("sex")))
     age, sex = F.col("age"), F.col("sex")
-    status = {c: clinical.reproductive_status(F.col(c), age, sex) for c in ("pregnant", "breastfeeding")}
-    return df.withColumns(
+    recoded = aged.withColumns(
         {
-            **status,
-            **{f"{c}_missing": clinical.reproductive_missing(s, age, sex) for c, s in status.items()},
+            "pregnant": clinical.reproductive_status(F.col("pregnant"), age, sex),
+            "breastfeeding": clinical.reproductive_status(F.col("breastfeeding"), age, sex),
             "adherence": clinical.adherence(F.col("adherence")),
             "whostage": clinical.who_stage(F.col("whostage")),
             "visittype": clinical.unscheduled(F.col("visittype")),
             "stabilityassessment": clinical.stability(F.col("stabilityassessment")),
             "differentiatedcare": clinical.delivery_model(F.col("differentiatedcare")),
-            "bmi": clinical.bmi_band(F.col("height"), F.col("weight"), age),
+            "bmi": clinical.body_mass(F.col("height"), F.col("weight"), age),
+        }
+    )
+    return recoded.withColumns(
+        {
+            "pregnant_missing": clinical.reproductive_missing(F.col("pregnant"), age, sex),
+            "breastfeeding_missing": clinical.reproductive_missing(F.col("breastfeeding"), age, sex),
+            "bmi": clinical.bmi_band(F.col("bmi"), age),
             "regimen_switch": regimen_switch(),
         }
     ).select(*VISIT_COLUMNS)

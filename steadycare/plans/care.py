@@ -48,7 +48,8 @@ class Care:
 
     @cached_property
     def visits(self) -> DataFrame:
-        cleaned = clean.clean_visits(self.raw["visits"], self.raw["dem"], self.start, self.end)
+        raw = clean.visit_inputs(self.raw["visits"])
+        cleaned = clean.clean_visits(raw, self.raw["dem"], self.start, self.end)
         return self.stage(visits.demographics(visits.visit_features(cleaned)), "visits")
 
     @cached_property

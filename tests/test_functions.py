@@ -91,7 +91,10 @@ def test_pregnancy(values):
 def test_bmi(values):
     given = [(170.0, 70.0, 20.0), (160.0, 40.0, 20.0), (100.0, 15.0, 10.0), (170.0, 80.0, 20.0), (160.0, 90.0, 20.0),
              (40.0, 70.0, 20.0), (170.0, None, 20.0)]
-    assert values(clinical.bmi_band, "h double, w double, a double", given) == [
+    def band(h, w, a):
+        return clinical.bmi_band(clinical.body_mass(h, w, a), a)
+
+    assert values(band, "h double, w double, a double", given) == [
         "Normalweight", "Underweight", "Under15", "Overweight", "Obese", None, None,
     ]
 
