@@ -80,7 +80,7 @@ OP1_SQL = f"""
 with d as (select row_number() over () as r, doc_id, {_WORDS} as w from documents),
 b as (select item_id, {_WORDS} as w from benchmark),
 item_windows as (
-  select item_id, unnest(list_transform(range(greatest(len(w) - 9, 1)), i -> array_to_string(w[i + 1 : i + 10], ' '))) as win,
+  select item_id, unnest(list_transform(range(greatest(len(w) - 9, 1)), lambda i: array_to_string(w[i + 1 : i + 10], ' '))) as win,
     least(len(w), 10) as m
   from b where len(w) > 0),
 lengths as (select distinct m from item_windows),
