@@ -254,5 +254,7 @@ def find_contamination(
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     """The documents that hold no benchmark window, with all their columns."""
-    marked = find_contamination(documents, benchmark, keep=("text", *[c for c in documents.columns if c != "text"]), **settings)
-    return marked.where(~F.col("contaminated")).select(*[F.col(f"`{c}`") for c in documents.columns])
+    columns = documents.columns
+    marked = find_contamination(documents, benchmark, keep=tuple(columns), **settings)
+    marked = marked.toDF(*[f"c{i}" for i in range(len(marked.columns))])  # the documents may have columns of the same names
+    return marked.where(~F.col(f"c{len(columns) + 4}")).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)])

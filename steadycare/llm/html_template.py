@@ -5,8 +5,8 @@ Spark, once a page; a subtree that recurs across many pages of a host is templat
 tags, roles and class names mark as navigation, header, footer, sidebar, notice, advert, form or comment. What stays inside
 the article (`article`, `main`, `role=main`; the body where there is none) is the main text.
 
-Paragraphs of the article are never template, however often a passage is repeated on a site: only markup around the
-article, and containers in it that are not prose, are hashed.
+Paragraphs and headings are never template themselves, however often a passage is repeated on a site, and nothing inside the prose
+of an article is: only containers are hashed.
 
 Counts go by host and hash, so a host with a third of all pages is spread. A host's template list holds subtrees on at
 least SHARE of its pages, so it is no longer than the mean number of hashed elements of a page / SHARE, whatever the host's size.
@@ -60,7 +60,9 @@ DROPPED = set(
     "head script style noscript template nav footer aside form button select option textarea input iframe object svg canvas "
     "audio video dialog menu title noembed noframes math map".split()
 )
-NOT_HASHED = set("html body head title meta link script style noscript article main li".split()) | INLINE
+NOT_HASHED = set(
+    "html body head title meta link script style noscript article main li p h1 h2 h3 h4 h5 h6 blockquote pre dt dd figcaption tbody tr td th".split()
+) | INLINE
 ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 MARKED = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|advertisement|sponsor\w*|promo\w*|banner\w*|cookies?|consent|notice\w*|notification\w*|nav\w*|menu\w*"
