@@ -3,7 +3,7 @@
 Documents are ordered by id. All ids, each document closed by an end id, form one stream, cut into shards, one a task, and in a
 shard into sequences of equal length. A record batch holds `ids`, `mask` (1 for an id, 0 for padding at the end of a shard) and
 `ends` (1 for an id that closes a document), each a fixed-size list, so that sequence i of a memory-mapped file is a slice of
-its buffers: no parsing, no copy. Beside each shard stands an Arrow file that lists its document ids.
+its buffers: no parsing, no copy. Ids take two bytes where the vocabulary allows it, and four elsewhere; the masks are bits. Beside each shard stands an Arrow file that lists its document ids.
 
 Files are written under a draft name and renamed when whole, and only files named by committed tasks are listed in the manifest,
 so lost executors leave at most stray files. Nothing but one row a shard is counted across shards.
@@ -36,28 +36,30 @@ def _fixed(values: np.ndarray, length: int) -> pa.FixedSizeListArray:
     return pa.FixedSizeListArray.from_arrays(pa.array(values), length)
 
 
-def _schema(length: int) -> pa.Schema:
-    return pa.schema([("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length)), ("ends", pa.list_(pa.uint8(), length))])
+def _schema(length: int, id_type: pa.DataType) -> pa.Schema:
+    return pa.schema([("ids", pa.list_(id_type, length)), ("mask", pa.list_(pa.bool_(), length)), ("ends", pa.list_(pa.bool_(), length))])
 
 
 class _Sequences:
     """Cuts a stream of ids into record batches of equal sequences."""
 
-    def __init__(self, sink, length: int):
-        self.writer = pa.ipc.new_file(sink, _schema(length))
+    def __init__(self, sink, length: int, largest: int):
+        self.id_type = np.uint16 if largest < 1 << 16 else np.uint32
+        self.schema = _schema(length, pa.from_numpy_dtype(self.id_type))
+        self.writer = pa.ipc.new_file(sink, self.schema)
         self.length, self.size = length, length * BATCH
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
         self.held = 0
 
     def _write(self, ids: np.ndarray, ends: np.ndarray) -> None:
         pad = -len(ids) % self.length
-        mask = np.concatenate([np.ones(len(ids), np.uint8), np.zeros(pad, np.uint8)])
+        mask = np.arange(len(ids) + pad) < len(ids)
         ids, ends = (np.concatenate([x, np.zeros(pad, x.dtype)]) for x in (ids, ends))
         columns = [_fixed(x, self.length) for x in (ids, mask, ends)]
-        self.writer.write_batch(pa.RecordBatch.from_arrays(columns, schema=_schema(self.length)))
+        self.writer.write_batch(pa.RecordBatch.from_arrays(columns, schema=self.schema))
 
     def add(self, ids: np.ndarray, ends: np.ndarray) -> None:
-        self.parts.append((ids, ends))
+        self.parts.append((ids.astype(self.id_type), ends))
         self.held += len(ids)
         if self.held >= self.size:
             ids, ends = (np.concatenate([p[i] for p in self.parts]) for i in (0, 1))
@@ -79,7 +81,7 @@ def _with_ends(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.nda
     inner = np.ones(len(out), bool)
     inner[closes] = False
     out[inner] = ids
-    return out, (~inner).astype(np.uint8)
+    return out, ~inner
 
 
 def _shard_writer(folder: str, tokenizer: str, length: int, end_id: int):
@@ -91,7 +93,8 @@ def _shard_writer(folder: str, tokenizer: str, length: int, end_id: int):
         name = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}"
         total = rows = 0
         with committed(f"{name}.arrow") as sink, committed(f"{name}.ids.arrow") as id_sink:
-            sequences, listed = _Sequences(sink, length), pa.ipc.new_file(id_sink, pa.schema([("doc_id", first.schema.field("doc_id").type)]))
+            largest = max(end_id, encoder(tokenizer).library.get_vocab_size(with_added_tokens=True))
+            sequences, listed = _Sequences(sink, length, largest), pa.ipc.new_file(id_sink, pa.schema([("doc_id", first.schema.field("doc_id").type)]))
             batch = first
             while batch is not None:
                 for _, _, ids, counts in encoder(tokenizer).encode(batch.column("text")):
@@ -136,16 +139,16 @@ def _documents_of(name: str) -> Iterator[tuple[pa.Array, np.ndarray, list[int]]]
         listed = pa.ipc.open_file(id_source).read_all().column("doc_id")
         crc, held, row = 0, 0, 0
         for i in range(file.num_record_batches):
-            ids, mask, ends = (c.values.to_numpy() for c in file.get_batch(i).columns)
+            ids, mask, ends = (c.values.to_numpy(zero_copy_only=False) for c in file.get_batch(i).columns)
             size = int(mask.sum())  # padding stands at the end only
             ids, closes = ids[:size], np.flatnonzero(ends[:size])
             lengths, sums = [], []
             at = 0
             for close in (closes + 1).tolist():
-                sums.append(zlib.crc32(ids[at:close].astype("<u4", copy=False).tobytes(), crc))
+                sums.append(zlib.crc32(ids[at:close].astype("<u4").tobytes(), crc))
                 lengths.append(held + close - at)
                 crc, held, at = 0, 0, close
-            crc = zlib.crc32(ids[at:].astype("<u4", copy=False).tobytes(), crc)
+            crc = zlib.crc32(ids[at:].astype("<u4").tobytes(), crc)
             held += size - at
             yield listed.slice(row, len(sums)).combine_chunks(), np.array(lengths, np.int64), sums
             row += len(sums)
@@ -171,7 +174,8 @@ def read_token_digests(manifest: DataFrame, id_type: str = "bigint") -> DataFram
 
 
 def sequence(name: str, i: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and mask of sequence i of a shard, as views of the mapped file."""
-    file = pa.ipc.open_file(opened(f"{name}.arrow"))
-    batch = file.get_batch(i // BATCH)
-    return tuple(batch.column(c).values.to_numpy()[(k := (i % BATCH) * batch.schema.field(c).type.list_size) : k + batch.schema.field(c).type.list_size] for c in (0, 1))
+    """Ids, as a view of the mapped file, and mask of sequence i of a shard."""
+    batch = pa.ipc.open_file(opened(f"{name}.arrow")).get_batch(i // BATCH)
+    length = batch.schema.field("ids").type.list_size
+    at = (i % BATCH) * length
+    return batch.column("ids").values.to_numpy()[at : at + length], batch.column("mask").values.slice(at, length).to_numpy(zero_copy_only=False)

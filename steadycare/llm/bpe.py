@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 
 from .flat import Flat, byte_class, flat_slices
 
-KEPT = 3_000_000  # stretches remembered by a Python worker
+KEPT = 1_000_000  # stretches remembered by a Python worker
 SLICE = 4 << 20
 
 _LETTER = byte_class(lambda b: 65 <= b <= 90 or 97 <= b <= 122)
