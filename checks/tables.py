@@ -5,7 +5,6 @@ from collections.abc import Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from steadycare.plans.care import Care
-from steadycare.sources.readers import spread
 from steadycare.sources.staging import stage
 
 from .views import END, START, TABLES, VIEWS
@@ -38,7 +37,8 @@ class ClinicTables(Mapping):
 
     def _read(self, table: str) -> DataFrame:
         df = self._spark.read.parquet(f"{self._folder}/{table}.parquet")
-        return spread(df.select(*NEEDED[table])) if table in NEEDED else df
+        # the driver's tables are single files, far fewer splits than cores
+        return df.select(*NEEDED[table]).repartition(self._spark.sparkContext.defaultParallelism) if table in NEEDED else df
 
     def __iter__(self) -> Iterator[str]:
         return (name.removeprefix("x_") for name in VIEWS)

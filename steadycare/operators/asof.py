@@ -3,13 +3,13 @@
 For every left row, the latest right row of the same key at or before the left row's time. Both sides
 are stacked, sorted once by (key, time, side) and the last right row seen so far is carried forward,
 so the cost is one shuffle and one sort however many right tables there are, nothing is multiplied,
-and the sort spills. The right row travels as a struct: the latest *row* is wanted even when the value
+and the sort spills. Right sides over the same rows and time share one branch of the stack. The right row travels as a struct: the latest *row* is wanted even when the value
 in it is null.
 """
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -18,7 +18,7 @@ class Latest:
     """One right side: its rows, its time column, the columns wanted from it.
 
     `max_age_days` nulls the columns when the matched row is older. `ties` orders rows of the same
-    key and time; the last one is taken.
+    key and time, by the columns' own types; the last one is taken. `where` names the rows that count.
     """
 
     rows: DataFrame
@@ -26,26 +26,35 @@ class Latest:
     columns: tuple[str, ...]
     max_age_days: int | None = None
     ties: tuple[str, ...] = ()
+    where: Column | None = None
 
 
 def asof_join(left: DataFrame, time: str, rights: list[Latest], key: str = "key") -> DataFrame:
     names = [f"_right{i}" for i in range(len(rights))]
-    tie_count = max((len(r.ties) for r in rights), default=0)
-    ties = [f"_tie{i}" for i in range(tie_count)]
+    branches: dict[tuple, list[tuple[str, Latest]]] = {}
+    for name, right in zip(names, rights):
+        branches.setdefault((id(right.rows), right.time, right.ties), []).append((name, right))
     payload = [c for c in left.columns if c not in (key, time)]
 
     stacked = left.select(
         key, time, F.lit(1).alias("_side"), F.struct(*payload).alias("_left")
         if payload else F.lit(None).alias("_left"),
     )
-    for name, right in zip(names, rights):
+    ties: list[str] = []
+    for number, ((_, moment, order), sides) in enumerate(branches.items()):
+        own = [f"_tie{number}_{i}" for i in range(len(order))]
+        ties += own
+        carried = []
+        for name, right in sides:
+            row = F.struct(F.col(moment).alias("_at"), *right.columns)
+            carried.append((row if right.where is None else F.when(right.where, row)).alias(name))
         stacked = stacked.unionByName(
-            right.rows.select(
+            sides[0][1].rows.select(
                 key,
-                F.col(right.time).alias(time),
+                F.col(moment).alias(time),
                 F.lit(0).alias("_side"),
-                *[F.col(c).cast("string").alias(f"_tie{i}") for i, c in enumerate(right.ties)],
-                F.struct(F.col(right.time).alias("_at"), *right.columns).alias(name),
+                *[F.col(c).alias(tie) for tie, c in zip(own, order)],
+                *carried,
             ).filter(F.col(key).isNotNull() & F.col(time).isNotNull()),
             allowMissingColumns=True,
         )

@@ -166,8 +166,7 @@ def clean_visits(raw: DataFrame, people: DataFrame, start: str, end: str) -> Dat
     """Cleaned visits of known patients with their demographics and an imputed due date.
 
     Demographics are constant per key, so joining them after the daily reduction gives the same rows
-    and shuffles far fewer. They are hashed per partition: visits have to be partitioned by key for
-    the window anyway, and are then sorted once instead of for the join and again for the window.
+    and shuffles far fewer. Spark picks the join by size; visits have to be partitioned by key for the window anyway.
     """
-    joined = daily_visits(raw, start, end).join(clean_people(people).hint("shuffle_hash"), "key")
+    joined = daily_visits(raw, start, end).join(clean_people(people), "key")
     return impute_due(joined, "visitdate", "nextappointmentdate")

@@ -15,6 +15,7 @@ from ..functions.person import shift_year_month, year_month
 NO_SHOW_DAYS = 30
 ROLLING_MONTHS = 6
 DEFAULT_SHIFT = -1
+# Facility columns of the reference tables.
 MFL_COLUMNS = ["code", "kephlevel", "county", "facilitytypecategory", "ownertype"]
 # County survey indicators.
 SURVEY_COLUMNS = [
@@ -23,6 +24,7 @@ SURVEY_COLUMNS = [
     "women_heardaids", "women_highrisksex", "women_highrisksex_multi", "women_sexnotwithpartner",
     "women_sexpartners", "women_nevertested", "women_testedrecent", "women_sti",
 ]
+# Columns of the saved site table.
 SITE_COLUMNS = [
     "sitecode", "rolling_weighted_noshow", "rolling_weighted_dayslate", "txcurr", "kephlevel",
     "facilitytypecategory", "ownertype", *SURVEY_COLUMNS,
@@ -100,16 +102,19 @@ def with_rolling(df: DataFrame, rolling: DataFrame) -> DataFrame:
 
 
 def facility_features(
-    df: DataFrame, mfl: DataFrame, dhs: DataFrame, txcurr: DataFrame, rolling: DataFrame | None = None
-) -> DataFrame:
+    df: DataFrame, mfl: DataFrame, dhs: DataFrame, txcurr: DataFrame, rolling: DataFrame | None = None,
+    facilities: DataFrame | None = None,
+) -> DataFrame:
     """All facility columns for rows with a site, a visit date and `lastvd`.
 
-    `rolling` is `site_rolling(site_month(...))`, given when the caller has it staged already.
+    `rolling` is `site_rolling(site_month(...))` and `facilities` is `facility_survey(mfl, dhs)`, given when the caller
+    has them staged already: the size of a join is only known once it is written.
     """
     columns = df.columns
     dated = with_period(df)
     rolling = site_rolling(site_month(dated)) if rolling is None else rolling
-    located = with_caseload(with_facility(dated, facility_survey(mfl, dhs)), txcurr)
+    facilities = facility_survey(mfl, dhs) if facilities is None else facilities
+    located = with_caseload(with_facility(dated, facilities), txcurr)
     out = with_rolling(located, rolling)
     return out.select(*columns, *[c for c in out.columns if c not in columns and c != "period"])
 

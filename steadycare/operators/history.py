@@ -62,9 +62,7 @@ def pharmacy_side(pharmacy: DataFrame) -> Latest:
     return Latest(rows, "dispensedate", ("optimizedhivregimen",))
 
 
-def lab_side(lab: DataFrame, test: str, name: str) -> Latest:
-    rows = lab.filter(F.col("testname") == test).withColumnRenamed("testresultcat", name)
-    return Latest(rows, "orderedbydate", (name,), max_age_days=LAB_MAX_AGE)
+LAB_COLUMNS = {"VL": "most_recent_vl", "CD4": "most_recent_cd4"}
 
 
 def lab_classes(df: DataFrame) -> DataFrame:
@@ -90,7 +88,12 @@ def pharmacy_history(targets: DataFrame, pharmacy: DataFrame) -> DataFrame:
 
 
 def lab_sides(lab: DataFrame) -> list[Latest]:
-    return [lab_side(lab, "VL", "most_recent_vl"), lab_side(lab, "CD4", "most_recent_cd4")]
+    """One side for each test over the same rows, so that the table is read and shuffled once."""
+    rows = lab.filter(F.col("testname").isin(*LAB_COLUMNS)).withColumns({c: F.col("testresultcat") for c in LAB_COLUMNS.values()})
+    return [
+        Latest(rows, "orderedbydate", (c,), max_age_days=LAB_MAX_AGE, where=F.col("testname") == test)
+        for test, c in LAB_COLUMNS.items()
+    ]
 
 
 def lab_history(targets: DataFrame, lab: DataFrame) -> DataFrame:

@@ -81,6 +81,8 @@ def impute_values(df: DataFrame, numeric: list[str], categorical: list[str]) ->
             .select("feature", F.lit(None).cast("double").alias("mean"), F.col("value").alias("mode"))
         )
         parts.append(modes)
+    if not parts:
+        return df.sparkSession.createDataFrame([], "feature string, mean double, mode string")
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
@@ -224,9 +226,8 @@ def vif(df: DataFrame, columns: list[str]) -> DataFrame:
         vectors = VectorAssembler(inputCols=used, outputCol="features").transform(complete)
         matrix = Correlation.corr(vectors.select("features"), "features").first()[0].toArray()
         if np.linalg.matrix_rank(matrix) < len(used):
-            diagonal = [
-                1.0 / max(1.0 - _explained(matrix, i), np.finfo(float).eps) for i in range(len(used))
-            ]
+            left = [1.0 - _explained(matrix, i) for i in range(len(used))]
+            diagonal = [1.0 / x if x > 1e-9 else np.inf for x in left]
         else:
             diagonal = list(np.diag(np.linalg.inv(matrix)))
         factors.update({c: float(v) for c, v in zip(used, diagonal)})

@@ -9,6 +9,7 @@ from .dedup import history
 GRACE_DAYS = 30
 # Outcomes under which a patient who did not come back counts as interrupted.
 OPEN_OUTCOMES = ("active", "loss to follow up", "lost in hmis")
+# Output columns.
 TARGET_COLUMNS = ["key", "visitdate", "nad", "nad_imputation_flag", "sitecode", "visitdiff", "iit"]
 
 
@@ -120,8 +121,7 @@ def before_last(contacts: DataFrame) -> DataFrame:
 
 def labelled_contacts(visits: DataFrame, pharmacy: DataFrame, people: DataFrame) -> DataFrame:
     merged = merge_contacts(stack_contacts(visits, pharmacy))
-    known = outcomes(people).hint("shuffle_hash")  # one row per key, partitioned like the contacts
-    return return_difference(due_never_earlier(merged)).join(known, "key", "left")
+    return return_difference(due_never_earlier(merged)).join(outcomes(people), "key", "left")
 
 
 def create_targets(

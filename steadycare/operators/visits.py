@@ -7,6 +7,7 @@ from ..functions import clinical, person
 from ..functions.parsing import blank_to_null, map_strings, parse_date
 from .dedup import history
 
+# Output columns.
 VISIT_COLUMNS = [
     "key", "sitecode", "visitdate", "visittype", "visitby", "tcareason", "pregnant",
     "pregnant_missing", "breastfeeding", "breastfeeding_missing", "stabilityassessment",

@@ -2,7 +2,7 @@
 
 What more than one step reads is staged: cleaned visits and dispenses (labels and as-of joins), targets
 (site statistics and features) and the small site tables. Everything else stays lazy. Key shuffles
-happen after the daily reduction, so raw rows are shuffled once, on (key, day), with duplicates already
+happen after the daily reduction, so each raw table is shuffled once, on (key, day), with duplicates already
 combined.
 """
 
@@ -78,10 +78,14 @@ class Care:
         late = facility.with_period(history.lateness(self.targets))
         return self.stage(facility.site_rolling(facility.site_month(late)), "rolling")
 
+    @cached_property
+    def facilities(self) -> DataFrame:
+        return self.stage(facility.facility_survey(self.raw["mfl"], self.raw["dhs"]), "facilities")
+
     @cached_property
     def features(self) -> DataFrame:
         return facility.facility_features(
-            self.history, self.raw["mfl"], self.raw["dhs"], self.raw["txcurr"], self.rolling
+            self.history, self.raw["mfl"], self.raw["dhs"], self.raw["txcurr"], self.rolling, self.facilities
         )
 
     @cached_property

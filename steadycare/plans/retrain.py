@@ -63,7 +63,7 @@ def score_requests(
 ) -> DataFrame:
     """Answer every request (patient, site) with a score, a category and risk factors.
 
-    Only the requested patients' rows are read; from there on it is the same work as for training. A
+    Only the requested patients' rows go on after the scan; from there on it is the same work as for training. A
     patient's answer does not depend on who else is requested.
     """
     wanted = {

@@ -23,15 +23,6 @@ def check_paths(spark: SparkSession, paths: dict[str, str]) -> None:
         raise FileNotFoundError("missing sources: " + "; ".join(missing))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a source that comes in fewer splits than the session has cores one split per core.
-
-    Small or badly split files only: a large source has more splits than cores and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_parquet_tables(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
     """Parquet sources by table name, all checked to exist, brought to the table schemas."""
     check_paths(spark, paths)

@@ -4,7 +4,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.parsing import lower_names
 from ..operators.facility import SURVEY_COLUMNS
 
 # Column names of the raw tables.
@@ -24,6 +23,7 @@ DEM = [
 ]
 DOUBLES = {"height", "weight", "indicator_value", *SURVEY_COLUMNS}
 INTEGERS = {"period"}
+REQUIRED = {"patientpkhash", "sitecode", "mflcode", "code", "county", "facilitycode"}
 
 
 def _schema(columns: list[str]) -> T.StructType:
@@ -47,19 +47,27 @@ SCHEMAS = {
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
-    """Lower-case names, the table's types, and its missing columns as nulls. Extra columns drop.
+    """The table's names and types. Names match without case, dots and underscores; extra columns drop.
 
-    Demographics name the site either `mflcode` or `sitecode`.
+    Demographics name the site either `mflcode` or `sitecode`. A missing key column is an error; another missing column is null.
     """
-    df = lower_names(df)
-    names = set(df.columns)
-    out = []
+    names = {_bare(c): F.col(f"`{c}`") for c in df.columns}
+    out, missing = [], []
     for f in SCHEMAS[table].fields:
-        source = "sitecode" if f.name == "mflcode" and "mflcode" not in names else f.name
-        value = F.col(source).try_cast(f.dataType) if source in names else F.lit(None).cast(f.dataType)
-        out.append(value.alias(f.name))
+        value = names.get(_bare(f.name))
+        if value is None and f.name == "mflcode":
+            value = names.get("sitecode")
+        if value is None and f.name in REQUIRED:
+            missing.append(f.name)
+        out.append((F.lit(None).cast(f.dataType) if value is None else value.try_cast(f.dataType)).alias(f.name))
+    if missing:
+        raise ValueError(f"{table} lacks {', '.join(missing)}")
     return df.select(*out)
 
 
+def _bare(name: str) -> str:
+    return name.lower().translate(str.maketrans("", "", "._"))
+
+
 def empty(spark, table: str) -> DataFrame:
     return spark.createDataFrame([], SCHEMAS[table])

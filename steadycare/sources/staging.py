@@ -1,26 +1,37 @@
 """Tables written once and read back, to cut lineage and share work between steps.
 
-They live under the folder the cluster names in `spark.checkpoint.dir`, which every executor can read,
-so a lost executor costs a re-read and never a recomputation. A staged table also has a known size:
+They live under the folder the cluster names in `spark.checkpoint.dir`, or else below the session's warehouse; every executor can
+read either, so a lost executor costs a re-read and never a recomputation. A staged table also has a known size:
 Spark broadcasts a small one and sort-merges a large one by its own threshold.
 """
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only for a local session without it."""
+    """The session's checkpoint folder, or a folder of the warehouse where none is set."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="staged-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staged"
+
+
+_run: ContextVar[str | None] = ContextVar("staging_run", default=None)
+
+
+@contextmanager
+def staging_run(spark: SparkSession) -> Iterator[str]:
+    """What is staged inside the block goes to a folder of its own, removed at its end: write the result before."""
+    name = f"run-{uuid.uuid4().hex}"
+    token = _run.set(name)
+    try:
+        yield name
+    finally:
+        _run.reset(token)
+        _delete(spark, f"{shared_folder(spark)}/{name}")
 
 
 def stage(df: DataFrame, name: str = "table", folder: str | None = None) -> DataFrame:
@@ -31,7 +42,7 @@ def stage(df: DataFrame, name: str = "table", folder: str | None = None) -> Data
     """
     spark = df.sparkSession
     if folder is None:
-        run = f"{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+        run = f"{_run.get() or spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
         path = f"{shared_folder(spark)}/{run}"
     else:
         path = f"{folder}/{name}"
@@ -41,6 +52,9 @@ def stage(df: DataFrame, name: str = "table", folder: str | None = None) -> Data
 
 def drop_staged(spark: SparkSession) -> None:
     """Delete the tables this application staged without a folder, once nothing reads them any more."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{spark.sparkContext.applicationId}")
+    _delete(spark, f"{shared_folder(spark)}/{spark.sparkContext.applicationId}")
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

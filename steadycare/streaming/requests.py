@@ -5,6 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from ..sources.staging import staging_run
+
 REQUEST_SCHEMA = "patientpkhash string, sitecode string"
 
 
@@ -13,11 +15,13 @@ def answer_stream(
 ) -> StreamingQuery:
     """Write the answers of each micro-batch to `<output>/batch=<id>`.
 
-    A batch that is run again after a failure overwrites its own folder, so answers are not doubled.
+    A batch that is run again after a failure overwrites its own folder, so answers are not doubled. What a batch
+    stages is removed once its answers are written.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        answer(batch).write.mode("overwrite").parquet(f"{output}/batch={number}")
+        with staging_run(batch.sparkSession):
+            answer(batch).write.mode("overwrite").parquet(f"{output}/batch={number}")
 
     return (
         requests.writeStream.foreachBatch(write)
