@@ -120,6 +120,8 @@ def fit_categories(df: DataFrame, columns: list[str]) -> dict[str, list[str | No
 
     A column with more than `MAX_CATEGORIES` values cannot be encoded as columns and is an error.
     """
+    if not columns:
+        return {}
     pairs = F.explode(
         F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])
     )

@@ -213,6 +213,30 @@ def test_grid_search(learnable):
     assert [(r["grid_row"], r["fold"]) for r in got] == [(0, 1), (1, 1)] and all(0 < r["ap_test"] <= 1 for r in got)
 
 
+def test_a_fold_of_one_class_is_reported(learnable):
+    rows = splits.time_folds(learnable.withColumn("iit", F.lit(0)), splits.rolling_folds(date(2024, 1, 1), folds=1))
+    got = models.grid_search(rows, "logistic", models.grid(penalty=[1.0]), lambda df: df.cache()).collect()
+    assert [(r["fold"], r["ap_test"]) for r in got] == [(1, None)] and got[0]["reason"]
+
+
+def test_boosting_keeps_more_than_one_tree(spark):
+    rng = random.Random(3)
+    rows = [(float(a), float(b), int((a > 0.5) != (b > 0.5))) for a, b in ((rng.random(), rng.random()) for _ in range(800))]
+    df = spark.createDataFrame(rows, "a double, b double, iit int").withColumn("key", F.monotonically_increasing_id().cast("string"))
+    train, val = df.filter("a * 100 % 2 < 1"), df.filter("a * 100 % 2 >= 1")
+    encoder = models.fit_encoder(df, train)
+    score = lambda rounds: models.gbt(encoder.apply(train), encoder.apply(val), rounds=rounds, depth=3, eta=0.01)
+    many = score(12)
+    assert many.getNumTrees > 1
+
+
+def test_encoder_takes_any_value(frame):
+    df = frame("key string, c string, iit int", ("1", "null", 0), ("2", None, 1), ("3", "Level `2`", 0), ("4", "level `2`", 1))
+    encoder = models.fit_encoder(df, df)
+    vectors = [tuple(r["features"].toArray()) for r in encoder.apply(df).collect()]
+    assert len(set(vectors)) == 4 and len(vectors[0]) == 3
+
+
 def test_artefacts_round_trip(learnable, tmp_path, spark):
     encoder = models.fit_encoder(learnable, learnable)
     model = models.logistic(encoder.apply(learnable), rounds=5)
