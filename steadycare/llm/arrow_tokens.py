@@ -169,7 +169,8 @@ def _shard_reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def read_token_digests(manifest: DataFrame, id_type: str = "bigint") -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of each document, read back from the files, one task a few shards."""
-    files = manifest.select("name", "start").repartition(F.col("name"))
+    tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a number of its own, or the few rows meet in one task
+    files = manifest.select("name", "start").repartition(tasks, "name")
     return files.mapInArrow(_shard_reader, f"doc_id {id_type}, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 

@@ -17,7 +17,6 @@ import pyarrow.compute as pc
 from .flat import Flat, byte_class, flat_slices
 
 KEPT = 1_000_000  # stretches remembered by a Python worker
-SLICE = 4 << 20
 
 _LETTER = byte_class(lambda b: 65 <= b <= 90 or 97 <= b <= 122)
 _MARK = byte_class(lambda b: (33 <= b <= 47 or 58 <= b <= 64 or 91 <= b <= 96 or 123 <= b <= 126) and b != 39)
@@ -117,7 +116,7 @@ class Encoder:
         edges = np.flatnonzero(whole)
         row = 0
         for special in [*edges.tolist(), len(texts)]:
-            for a, b, flat in flat_slices(texts.slice(row, special - row), SLICE):
+            for a, b, flat in flat_slices(texts.slice(row, special - row)):
                 yield row + a, row + b, *self._slice(flat, want_ids)
             if special < len(texts):
                 ids = self.library.encode(texts[special].as_py(), add_special_tokens=False).ids

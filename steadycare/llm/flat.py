@@ -25,13 +25,14 @@ LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 
 
 def _power(name: str, factor: np.uint64, size: int) -> np.ndarray:
-    """factor**0, factor**1, ... modulo 2**64, kept and grown by doubling."""
+    """factor**0, factor**1, ... modulo 2**64; kept for the size of a usual slice."""
+    usual = SLICE_BYTES + 1024
     have = _powers.get(name)
     if have is None or len(have) < size:
-        size = max(size, SLICE_BYTES + 1024)
-        have = np.full(size, factor, np.uint64)
+        have = np.full(max(size, usual), factor, np.uint64)
         have[0] = 1
-        _powers[name] = have = np.multiply.accumulate(have)
+        have = np.multiply.accumulate(have)
+        _powers[name] = have[:usual].copy()
     return have[:size]
 
 
