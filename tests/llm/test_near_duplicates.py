@@ -87,6 +87,40 @@ def test_classes_against_brute_force(spark):
     assert icws.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_texts_left_apart_by_their_centres(spark):
+    """Many texts share most of a passage; pairs of them, and chains whose ends are unlike, are similar through what is their own."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    passage, texts = [word() for _ in range(150)], []
+    for _ in range(60):
+        own = [word() for _ in range(70)]
+        texts += [" ".join(passage + own), " ".join(passage + own[:69] + [word()])]
+    for _ in range(8):
+        line = [word() for _ in range(260)]
+        texts += [" ".join(line[i : i + 200]) for i in range(0, 61, 15)]
+    rng.shuffle(texts)
+    rows = dict(enumerate(texts))
+    df = spark.createDataFrame(list(rows.items()), "doc_id long, text string").repartition(4)
+    want = brute_classes(rows)
+    assert 60 < len(set(want.values())) <= 68
+    for centres in (1, 3):
+        assert {r.doc_id: r.class_id for r in icws.near_duplicates(df, centres=centres).collect()} == want
+
+
+def test_prefix_pairs_hold_every_similar_pair(spark):
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(120)]
+    texts = [" ".join(base[a:b]) for a, b in ((rng.randrange(30), rng.randrange(60, 120)) for _ in range(60))]
+    table = (np.zeros(0, np.uint64), np.zeros(0))
+    apart = spark.createDataFrame([(i, i, True) for i in range(len(texts))], "id long, root long, open boolean")
+    own = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    found = icws._prefix_pairs(apart, own, spark.sparkContext.broadcast(table), "bigint", 0.8).collect()
+    pairs = [(a, b) for a in range(len(texts)) for b in range(a)]
+    scores = icws.similarity(pa.array([texts[a] for a, _ in pairs]), pa.array([texts[b] for _, b in pairs]), table)
+    similar = {p for p, score in zip(pairs, scores) if score >= 0.8}
+    assert similar and similar <= {(r.a, r.b) for r in found} and len(found) < len(pairs)
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i + 1, i) for i in range(40) if i != 20] + [(100, 3)], "a long, b long")
     got = {r.id: r.root for r in icws.components(links).collect()}
