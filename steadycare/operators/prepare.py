@@ -1,7 +1,7 @@
 """Imputation, encoding, scaling, screening and sequences of feature tables.
 
-Fitted state (means, modes, category lists, a correlation matrix) is per column, so it is the only
-thing that reaches the driver.
+Fitted state that reaches the driver (means, modes, a correlation matrix) is per column. Categories stay a table,
+except those that `one_hot` turns into columns.
 """
 
 from dataclasses import dataclass, field
@@ -115,10 +115,27 @@ def fit_imputer(train: DataFrame, numeric: list[str], categorical: list[str]) ->
 # --- encoding -------------------------------------------------------------------------------
 
 
-def fit_categories(df: DataFrame, columns: list[str]) -> dict[str, list[str | None]]:
-    """Sorted distinct values of each column, null last.
+def category_table(df: DataFrame, columns: list[str]) -> DataFrame:
+    """feature, value and place of every distinct value: places count from 0 in order of the values, null last.
 
-    A column with more than `MAX_CATEGORIES` values cannot be encoded as columns and is an error.
+    A table, however many values a column has: distinct values are combined before they are shuffled and numbered.
+    """
+    if not columns:
+        return df.sparkSession.createDataFrame([], "feature string, value string, place int")
+    pairs = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in columns])
+    )
+    order = Window.partitionBy("feature").orderBy(F.col("value").asc_nulls_last())
+    distinct = df.select(pairs.alias("_p")).select("_p.*").distinct()
+    return distinct.withColumn("place", F.row_number().over(order) - 1)
+
+
+def fit_categories(
+    df: DataFrame, columns: list[str], most: int = MAX_CATEGORIES
+) -> dict[str, list[str | None]]:
+    """Sorted distinct values of each column, null last, for `one_hot`, which turns every value into a column.
+
+    More than `most` values cannot become columns and are an error; the encoder of the models has no such limit.
     """
     if not columns:
         return {}
@@ -126,13 +143,13 @@ def fit_categories(df: DataFrame, columns: list[str]) -> dict[str, list[str | No
         F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])
     )
     distinct = df.select(pairs.alias("_p")).select("_p.c", "_p.v").distinct()
-    rows = distinct.limit(len(columns) * MAX_CATEGORIES + 1).collect()
+    rows = distinct.limit(len(columns) * most + 1).collect()
     found: dict[str, list] = {c: [] for c in columns}
     for row in rows:
         found[row["c"]].append(row["v"])
     for column, values in found.items():
-        if len(values) > MAX_CATEGORIES:
-            raise ValueError(f"{column} has more than {MAX_CATEGORIES} categories")
+        if len(values) > most:
+            raise ValueError(f"{column} has more than {most} categories")
     return {c: sorted(v, key=lambda x: (x is None, x or "")) for c, v in found.items()}
 
 

@@ -61,22 +61,21 @@ ENCODER_SCHEMA = "kind string, feature string, position int, value string, numbe
 
 def _encoder_rows(spark: SparkSession, encoder: Encoder) -> DataFrame:
     rows = [("numeric", c, i, None, encoder.imputer.means.get(c)) for i, c in enumerate(encoder.numeric)]
-    for f, (c, values) in enumerate(encoder.categories.items()):
-        rows.append(("categorical", c, f, None, None))
-        rows += [("category", c, i, v, None) for i, v in enumerate(values)]
-    return spark.createDataFrame(rows, ENCODER_SCHEMA)
+    rows += [("categorical", c, i, None, float(n)) for i, (c, n) in enumerate(encoder.sizes.items())]
+    values = encoder.categories.selectExpr(
+        "'category' AS kind", "feature", "place AS position", "value", "CAST(NULL AS double) AS number"
+    )
+    return spark.createDataFrame(rows, ENCODER_SCHEMA).unionByName(values)
 
 
 def read_encoder(spark: SparkSession, folder: str, version: str = "latest") -> Encoder:
-    rows = spark.read.schema(ENCODER_SCHEMA).parquet(f"{folder}/{version}/encoder").collect()
-    rows.sort(key=lambda r: r["position"])
+    saved = spark.read.schema(ENCODER_SCHEMA).parquet(f"{folder}/{version}/encoder")
+    rows = sorted(saved.where("kind <> 'category'").collect(), key=lambda r: r["position"])
     numeric = [r for r in rows if r["kind"] == "numeric"]
-    names = [r["feature"] for r in rows if r["kind"] == "categorical"]
-    categories = {
-        c: [r["value"] for r in rows if r["kind"] == "category" and r["feature"] == c] for c in names
-    }
+    sizes = {r["feature"]: int(r["number"]) for r in rows if r["kind"] == "categorical"}
+    categories = saved.where("kind = 'category'").selectExpr("feature", "value", "position AS place")
     means = {r["feature"]: r["number"] for r in numeric}
-    return Encoder(categories, Imputer(means, {}), [r["feature"] for r in numeric])
+    return Encoder(categories, sizes, Imputer(means, {}), [r["feature"] for r in numeric])
 
 
 def read_thresholds(spark: SparkSession, folder: str, version: str = "latest") -> DataFrame:

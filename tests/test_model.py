@@ -228,6 +228,21 @@ def test_boosting_keeps_more_than_one_tree(spark):
     score = lambda rounds: models.gbt(encoder.apply(train), encoder.apply(val), rounds=rounds, depth=3, eta=0.01)
     many = score(12)
     assert many.getNumTrees > 1
+    whole = models.gbt(encoder.apply(train), rounds=4, depth=3)
+    first = models.first_trees(whole, 2)
+    again = models.gbt(encoder.apply(train), rounds=2, depth=3)
+    assert first.getNumTrees == 2
+    total = lambda model: models.predict(model, encoder.apply(val)).agg(F.sum("score")).first()[0]
+    assert total(first) == pytest.approx(total(again)) and total(first) != pytest.approx(total(whole))
+
+
+def test_encoder_has_no_limit_on_categories(spark):
+    rows = [(str(i), f"v{i:05d}", i % 2) for i in range(5000)]
+    df = spark.createDataFrame(rows, "key string, c string, iit int")
+    encoder = models.fit_encoder(df.where("key <> '7'"), df)
+    assert encoder.sizes == {"c": 4999} and encoder.feature_names().count() == 4998
+    got = {r["key"]: r["features"] for r in encoder.apply(df).where("key IN ('0', '1', '7', '4999')").collect()}
+    assert [list(got[k].indices) for k in ("0", "1", "7", "4999")] == [[], [0], [], [4997]]
 
 
 def test_encoder_takes_any_value(frame):
@@ -244,7 +259,8 @@ def test_artefacts_round_trip(learnable, tmp_path, spark):
     version = write_model(str(tmp_path), model.write(), encoder, limits)
     for v in (version, "latest"):
         again = read_encoder(spark, str(tmp_path), v)
-        assert (again.features, again.categories, again.imputer.means) == (encoder.features, encoder.categories, encoder.imputer.means)
+        assert (again.numeric, again.sizes, again.imputer.means) == (encoder.numeric, encoder.sizes, encoder.imputer.means)
+        assert sorted(map(str, again.feature_names().collect())) == sorted(map(str, encoder.feature_names().collect()))
         assert read_thresholds(spark, str(tmp_path), v).count() == 1
     from pyspark.ml.classification import LogisticRegressionModel
 
