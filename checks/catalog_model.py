@@ -20,8 +20,6 @@ from .views import EMR_ALLOW, EMR_POSITIVE, END, REFRESH, START
 
 FOLD_START = date(1999, 1, 1)
 LATENESS_COLUMNS = [f"{n}_last{k}" for n in ("lateness", "late", "late14", "late30") for k in (3, 5, 10)]
-# Small fits: the point of these queries is that they run, not how well the model ranks.
-TREES = {"gbt": {"rounds": 5, "depth": 3}, "forest": {"trees": 10, "depth": 4}, "logistic": {"rounds": 20}}
 
 
 def stand_in(df):
@@ -283,7 +281,7 @@ def encoded_split(c):
 
 def _fit(c, trainer):
     _, encoder, train, val = encoded_split(c)
-    return encoder, md.TRAINERS[trainer](train, val, **TREES[trainer]), val
+    return encoder, md.TRAINERS[trainer](train, val), val
 
 
 def _scores(c, trainer):
@@ -320,7 +318,7 @@ def grid_search(c):
         "nad_imputation_flag", "startartdate", "month", "dayofweek", "timeatfacility"
     )
     return md.grid_search(
-        c.stage(folds, "folds"), "logistic", md.grid(penalty=[0.1, 1.0], rounds=[10]),
+        c.stage(folds, "folds"), "logistic", md.grid(**md.GRIDS["logistic"]),
         lambda df: c.stage(df, "fold"),
     )
 
@@ -414,7 +412,7 @@ def risk_factors(c):
 @query("key visitdate nad sitecode score:r pred_cat months_on_art:r evaluation_date", staged=True)
 def batch_score(c):
     rows, encoder, train, val = encoded_split(c)
-    model = md.gbt(train, val, **TREES["gbt"])
+    model = md.gbt(train, val)
     scored = c.stage(md.predict(model, val), "scored")
     found = c.stage(ev.site_thresholds(rows, scored), "thresholds")
     scorer = sc.model_scorer(model, encoder)
