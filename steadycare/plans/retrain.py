@@ -1,17 +1,19 @@
 """Refresh of the model from raw tables."""
 
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import evaluate, models, scoring, splits
-from ..sources.readers import requested_rows
+from ..sources.readers import rows_by_request
 from ..sources.sinks import write_csv, write_model, write_site_table
 from ..sources.staging import stage
 from .care import Care
 
+ALWAYS = ("0001-01-01", "9999-12-31")
+
 
 @dataclass
 class Refreshed:
@@ -59,19 +61,27 @@ def retrain(care: Care, settings: RefreshSettings, folder: str, at: datetime | N
 
 def score_requests(
     requests: DataFrame, raw: dict[str, DataFrame], period: tuple[str, str], site_table: DataFrame,
-    scorer: scoring.Scorer, thresholds: DataFrame, settings: RefreshSettings, settle=stage,
+    scorer: scoring.Scorer, thresholds: DataFrame, settings: RefreshSettings, settle=stage, on: date | None = None,
 ) -> DataFrame:
-    """Answer every request (patient, site) with a score, a category and risk factors.
+    """Answer every request (patient, site, and dates `start` and `end`) with a score, a category and risk factors.
 
-    Only the requested patients' rows go on after the scan; from there on it is the same work as for training. A
-    patient's answer does not depend on who else is requested.
+    A request without dates is for `period`. Only rows of a requested patient and period go on after the scan; from there
+    on it is the same work as for training. A patient's answer does not depend on who else, or which other period, is
+    requested.
     """
+    first, last = (F.lit(day).cast("date") for day in period)
+    asked = requests.withColumns(
+        {
+            "start": F.coalesce(F.col("start").cast("date"), first) if "start" in requests.columns else first,
+            "end": F.coalesce(F.col("end").cast("date"), last) if "end" in requests.columns else last,
+        }
+    )
     wanted = {
-        name: requested_rows(raw[name], requests) for name in ("lab", "pharmacy", "visits", "dem")
+        name: rows_by_request(raw[name], asked, name) for name in ("lab", "pharmacy", "visits", "dem")
     }
-    care = Care({**raw, **wanted}, *period, stage=settle, own_contacts_only=True)
+    care = Care({**raw, **wanted}, *ALWAYS, stage=settle, own_contacts_only=True)
     scored = scoring.batch_score(
         care.scoring_features(site_table), scorer, thresholds, settings.emr_allow,
-        settings.emr_positive, settings.default_site,
+        settings.emr_positive, settings.default_site, on,
     )
-    return scoring.answer_requests(requests, scored)
+    return scoring.answer_requests(asked, scored)

@@ -1,9 +1,9 @@
 """Raw tables from storage or a database, whole or for requested patients."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.parsing import lower_names, strip
+from ..functions.parsing import lower_names, parse_date, strip
 from .schemas import SCHEMAS, conform
 
 CLINICAL_TABLES = ("lab", "pharmacy", "visits", "dem")
@@ -56,6 +56,39 @@ def one_patient(df: DataFrame, patient: str, site: str) -> DataFrame:
     return df.filter((F.col("patientpkhash") == patient) & (F.col(site_column) == site))
 
 
+# The date that places a row of each clinical table in a period, and whether the period's end bounds it.
+PERIOD_COLUMNS = {"lab": ("orderedbydate", False), "pharmacy": ("dispensedate", True), "visits": ("visitdate", True)}
+
+
+def period_tag(patient: Column, start: Column, end: Column) -> Column:
+    """The code of a patient within the request for a period."""
+    return F.concat_ws("|", strip(patient), start.cast("string"), end.cast("string"))
+
+
+def rows_by_request(df: DataFrame, requests: DataFrame, table: str) -> DataFrame:
+    """Rows of a clinical table once for each requested period of their patient and site that they fall into.
+
+    `requests` has `patientpkhash`, `sitecode` and dates `start` and `end`. The patient code of a row becomes
+    `period_tag`, so what follows keeps two periods of a patient apart. Demographics have no date and go to every period.
+    """
+    df = lower_names(df)
+    site = F.col("sitecode" if "sitecode" in df.columns else "mflcode")
+    wanted = requests.select(
+        strip(F.col("patientpkhash")).alias("_patient"), strip(F.col("sitecode").cast("string")).alias("_site"),
+        F.col("start").alias("_start"), F.col("end").alias("_end"),
+    ).distinct()
+    match = (strip(F.col("patientpkhash")) == F.col("_patient")) & (strip(site.cast("string")) == F.col("_site"))
+    if table in PERIOD_COLUMNS:
+        name, ends = PERIOD_COLUMNS[table]
+        at = parse_date(F.col(name))
+        match = match & (at >= F.col("_start"))
+        if ends:
+            match = match & (at <= F.col("_end"))
+    joined = df.join(wanted, match)
+    tag = period_tag(F.col("patientpkhash"), F.col("_start"), F.col("_end"))
+    return joined.withColumn("patientpkhash", tag).drop("_patient", "_site", "_start", "_end")
+
+
 def requested_rows(df: DataFrame, requests: DataFrame, by_site: bool = True) -> DataFrame:
     """Rows of the requested patients, at the requested site or at any.
 

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.staging import staging_run
 
-REQUEST_SCHEMA = "patientpkhash string, sitecode string"
+REQUEST_SCHEMA = "patientpkhash string, sitecode string, start date, end date"
 
 
 def answer_stream(

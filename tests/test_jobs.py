@@ -97,6 +97,16 @@ def test_retrain_then_score(spark, tmp_path):
     for r in answer(some).collect():  # an answer does not depend on who else is asked for
         assert r["score"] == whole[r["key"]] and (r["pred_cat"] == "unavailable") == (r["score"] is None)
 
+    # one patient with two periods gets the answer of each, whatever else is asked for
+    shorter = (START, "2000-01-31")
+    dated = lambda df, period: df.withColumns({n: F.lit(d).cast("date") for n, d in zip(("start", "end"), period)})
+    both = answer(dated(everyone, shorter).unionByName(dated(everyone, (START, END)))).collect()
+    alone = {r["key"]: r["score"] for r in answer(dated(everyone, shorter)).collect()}
+    for r in both:
+        assert r["score"] == (whole if str(r["end"]) == END else alone)[r["key"]]
+        assert (r["evaluation_date"] is None) == (r["score"] is None)
+    assert len(both) == 2 * len(whole) and alone != whole
+
     some.coalesce(1).write.json(str(tmp_path / "in"))
     stream = spark.readStream.schema(REQUEST_SCHEMA).json(str(tmp_path / "in"))
     answer_stream(stream, answer, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
