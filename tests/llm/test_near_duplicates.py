@@ -107,6 +107,17 @@ def test_texts_left_apart_by_their_centres(spark):
         assert {r.doc_id: r.class_id for r in icws.near_duplicates(df, centres=centres).collect()} == want
 
 
+@pytest.mark.parametrize("starts", [(30, 15, 0), (45, 30, 15, 0)])
+def test_a_bucket_whose_last_open_member_meets_no_centre(spark, starts):
+    """Three: c~y, y~x, c unlike x, which is open alone. Four: x1 and x2 are linked in round 2, y~x1 is left. No other bucket is open."""
+    line = [f"w{i}" for i in range(300)]
+    texts = spark.createDataFrame([(i, " ".join(line[a : a + 200])) for i, a in enumerate(starts)], "id long, text string")
+    banded = spark.createDataFrame([(i, [1]) for i in range(len(starts))], "id long, bands array<long>")
+    table = spark.sparkContext.broadcast((np.zeros(0, np.uint64), np.zeros(0)))
+    links = icws._links(banded, texts, table, "bigint", 0.8, 3)
+    assert {r.id: r.root for r in icws.components(links).collect()} == dict.fromkeys(range(len(starts)), 0)
+
+
 def test_prefix_pairs_hold_every_similar_pair(spark):
     rng = random.Random(8)
     base = [f"w{i}" for i in range(120)]
