@@ -11,6 +11,9 @@ of an article is: only containers are hashed.
 Counts go by host and hash, so a host with a third of all pages is spread. A host's template list holds subtrees on at
 least SHARE of its pages, so it is no longer than the mean number of hashed elements of a page / SHARE, whatever the host's size.
 
+Class names and forms (but for class names like `has-sidebar`, which tell the layout) delete no article below them unless another
+article of the page is below none, and nothing of a body without an article that has no other text.
+
 Defined cases: null and empty pages give an empty text; a null url has the empty host; unclosed, crossed and stray tags are
 mended as browsers do in the common cases; repeated rows count as pages of their own; a very long page is read whole.
 """
@@ -37,7 +40,8 @@ _TOKEN = re.compile(
     r"|<!--.*?(?:-->|\Z)|<[!?/][^>]*(?:>|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"(?i)\b(class|id|role|aria-label|itemprop|hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+#: Every name=value pair, one after the other, so that no part of a value or of a longer name is taken for a name.
+_ATTRIBUTE = re.compile(r"([^\s/>=\"'][^\s/>=]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?|=\s*(?:\"[^\"]*\"|'[^']*')")
 
 #: Elements of the HTML standard by how they are read.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -57,7 +61,7 @@ NO_ATTRIBUTES: dict[str, str] = {}
 PROSE = set("p h1 h2 h3 h4 h5 h6 blockquote pre li ul ol dl dt dd table tbody thead tr td th figure figcaption".split())
 INLINE = set("a b i em strong span u s small sub sup code q cite abbr mark time font br img var kbd samp del ins label".split())
 DROPPED = set(
-    "head script style noscript template nav footer aside form button select option textarea input iframe object svg canvas "
+    "head script style noscript template nav footer aside button select option textarea input iframe object svg canvas "
     "audio video dialog menu title noembed noframes math map".split()
 )
 NOT_HASHED = set(
@@ -71,27 +75,46 @@ MARKED = re.compile(
     r"|copyright|disclaimer|skip-?link\w*|hidden)(?:$|[\s_-])",
     re.I,
 )
+STATE = re.compile(r"(?:^|(?<=\s))(?:has|no|with|without)-\S*", re.I)  # class names that say how a page is laid out, not what an element is
+#: How surely names delete an element, and where the text of a page stands, from the likeliest place of its main text on.
+STAYS, MARK, TAG = range(3)
+ARTICLE, MARKED_ARTICLE, BODY, MARKED_BODY, NOWHERE = range(5)
 
 
 class _Element:
-    __slots__ = ("tag", "start", "dropped", "content", "prose")
+    __slots__ = ("tag", "start", "dropped", "content", "below_mark", "prose")
+
+    def __init__(self, tag, start, dropped, content, below_mark, prose):
+        self.tag, self.start, self.dropped, self.content, self.below_mark, self.prose = tag, start, dropped, content, below_mark, prose
 
-    def __init__(self, tag, start, dropped, content, prose):
-        self.tag, self.start, self.dropped, self.content, self.prose = tag, start, dropped, content, prose
+    def place(self) -> int:
+        if self.dropped == TAG or self.content and self.dropped:
+            return NOWHERE
+        if self.content:
+            return MARKED_ARTICLE if self.below_mark else ARTICLE
+        return MARKED_BODY if self.dropped else BODY
 
 
 def _attributes(text: str) -> dict[str, str]:
-    return {k.lower(): (v or k).strip("\"'") for k, v in _ATTRIBUTE.findall(text)}
+    found: dict[str, str] = {}
+    for k, v in _ATTRIBUTE.findall(text):
+        if k:
+            found.setdefault(k.lower(), v.strip("\"'"))
+    return found
+
+
+def _marked(attributes: dict[str, str]) -> bool:
+    return any(MARKED.search(STATE.sub("", attributes[k])) for k in ("class", "id", "itemprop") if k in attributes)
 
 
-def _dropped(tag: str, attributes: dict[str, str], content: bool) -> bool:
-    if tag in DROPPED or attributes.get("role", "").lower() in ROLES or "hidden" in attributes:
-        return True
+def _dropped(tag: str, attributes: dict[str, str], content: bool) -> int:
+    if tag in DROPPED or attributes.get("role", "").lower() in ROLES - {"form"} or "hidden" in attributes:
+        return TAG
     if tag == "header":
-        return not content
+        return STAYS if content else TAG
     if tag in ("html", "body", "main", "article", "p", "h1", "h2", "h3", "h4", "h5", "h6"):
-        return False
-    return any(MARKED.search(attributes.get(k, "")) for k in ("class", "id", "itemprop"))
+        return STAYS
+    return MARK if tag == "form" or attributes.get("role", "").lower() == "form" or _marked(attributes) else STAYS
 
 
 def _is_content(tag: str, attributes: dict[str, str]) -> bool:
@@ -99,38 +122,44 @@ def _is_content(tag: str, attributes: dict[str, str]) -> bool:
 
 
 class Page:
-    """Blocks of text with the subtrees above them. `subtrees`: hash of each hashed element, None while it is open."""
+    """Blocks of text with the subtrees above them. `subtrees`: hash of each hashed element, None while it is open. `main`: the
+    place of the main text. What marks delete comes back where they would leave nothing, be it an article or the body."""
 
     def __init__(self, html: str):
         self.html = html
         self.subtrees: list[int | None] = []
-        self.blocks: list[tuple[str, tuple[int, ...], bool]] = []  # text, numbers of subtrees, in the article
+        self.blocks: list[tuple[str, tuple[int, ...], int]] = []  # text, numbers of subtrees, place
         self._stack: list[tuple[_Element, int | None]] = []
-        self._text: list[str] = []
-        self._above: tuple[int, ...] = ()
-        self._in = False
-        self.has_content = False
+        self._text: dict[int, tuple[tuple[int, ...], list[str]]] = {}  # of the block that is open, by place
+        self.main = NOWHERE
         self._parse()
+        self.main = min([self.main, *(place for *_, place in self.blocks)])
 
     def _flush(self) -> None:
-        if self._text:
-            text = "".join(self._text)
+        for place, (above, said) in self._text.items():
+            text = "".join(said)
             text = " ".join((unescape(text) if "&" in text else text).split())
-            self._text = []
             if text:
-                self.blocks.append((text, self._above, self._in))
+                self.blocks.append((text, above, place))
+        if self._text:
+            self._text = {}
 
     def _open(self, tag: str, attributes: dict[str, str], start: int) -> None:
         top = self._stack[-1][0] if self._stack else None
-        content = bool(top and top.content) or _is_content(tag, attributes)
+        inherited, within, below_mark = (top.dropped, top.content, top.below_mark) if top else (STAYS, False, False)
+        content = within or _is_content(tag, attributes)
+        if content and not within and inherited == MARK:
+            inherited, below_mark = STAYS, True
         prose = content and (bool(top and top.prose) or tag in PROSE or tag in INLINE)
-        dropped = bool(top and top.dropped) or _dropped(tag, attributes, bool(top and top.content))
-        self.has_content |= content and not dropped
+        dropped = max(inherited, _dropped(tag, attributes, within))
         number = None
         if not prose and tag not in NOT_HASHED:
             number = len(self.subtrees)
             self.subtrees.append(None)
-        self._stack.append((_Element(tag, start, dropped, content, prose), number))
+        element = _Element(tag, start, dropped, content, below_mark, prose)
+        if content and not dropped:
+            self.main = min(self.main, element.place())
+        self._stack.append((element, number))
 
     def _close(self, end: int) -> None:
         element, number = self._stack.pop()
@@ -150,12 +179,14 @@ class Page:
                 return
 
     def _say(self, text: str) -> None:
-        if not text or self._stack and self._stack[-1][0].dropped:
+        if not text:
+            return
+        place = self._stack[-1][0].place() if self._stack else BODY
+        if place == NOWHERE:
             return
-        if not self._text:
-            self._above = tuple(n for _, n in self._stack if n is not None)
-            self._in = bool(self._stack) and self._stack[-1][0].content
-        self._text.append(text)
+        if place not in self._text:
+            self._text[place] = tuple(n for _, n in self._stack if n is not None), []
+        self._text[place][1].append(text)
 
     def _parse(self) -> None:
         html, at = self.html, 0
@@ -200,7 +231,7 @@ class Page:
 
     def main_blocks(self) -> list[tuple[str, list[int]]]:
         """Text of the blocks in the article, or in the body where there is none, with the hashes above each."""
-        return [(t, [self.subtrees[n] for n in above]) for t, above, inside in self.blocks if inside or not self.has_content]
+        return [(t, [self.subtrees[n] for n in above]) for t, above, place in self.blocks if place == self.main]
 
 
 _BLOCKS = pa.list_(pa.struct([("text", pa.string()), ("above", pa.list_(pa.int64()))]))

@@ -31,6 +31,21 @@ def test_pages(html, want):
     assert text_of(html) == want
 
 
+@pytest.mark.parametrize("html, want", [
+    ("<article style='overflow:hidden'><p style=\"overflow:hidden\">a</p><p aria-hidden=false>b<p data-hidden>c</article>", "a\nb\nc"),
+    ("<article><p>see <a href='/hidden-gems'>gems</a> <a href=/x/class=ad title=\"a class='ad' hidden\">x</a><p hidden>h<p HIDDEN=''>i</article>", "see gems x"),
+    ("<div class='page has-sidebar'><p>a</p><div class='sidebar'>s</div></div><p>b", "a\nb"),
+    ("<div class='no-sidebar elementor-widget-container'><div class=sidebar>s</div><article><p>a</p><div class=ad>x</div></article></div><p>z", "a"),
+    ("<form id=aspnetForm><nav>n</nav><main><p>m</p><form>f</form></main></form>", "m"),
+    ("<form id=aspnetForm><nav>n</nav><p>m</p></form><footer>f</footer>", "m"),
+    ("<article><p>a</p></article><div class=comments><article><p>c</p></article></div>", "a"),
+    ("<div class=widget-container><nav><article>n</article></nav><p>a <span class=share>s</span> b", "a s b"),
+    ("<p>a <span class=share>s</span> b", "a b"),
+])
+def test_marks_delete_no_more_than_they_name(html, want):
+    assert text_of(html) == want
+
+
 def test_templates_go_and_passages_stay(spark):
     pages = [
         (i, f"http://site.example/{i}", f"<div><div>Our motto<br>Buy</div><p>own {i}</p><p>same passage</p></div><div>legal text</div>")
