@@ -1,7 +1,7 @@
 """HTML extraction with site template removal.
 
 Every page is parsed into its element tree. The hash of each element subtree outside the prose is counted for its host in
-Spark, once a page; a subtree that recurs across many pages of a host is template, and the text below it is deleted, as is what
+Spark, once for each different main text; a subtree that recurs across many pages of a host is template, and the text below it is deleted, as is what
 tags, roles and class names mark as navigation, header, footer, sidebar, notice, advert, form or comment. What stays inside
 the article (`article`, `main`, `role=main`; the body where there is none) is the main text.
 
@@ -15,7 +15,8 @@ Class names and forms (but for class names like `has-sidebar`, which tell the la
 article of the page is below none, and nothing of a body without an article that has no other text.
 
 Defined cases: null and empty pages give an empty text; a null url has the empty host; unclosed, crossed and stray tags are
-mended as browsers do in the common cases; repeated rows count as pages of their own; a very long page is read whole.
+mended as browsers do in the common cases; rows of a host with one main text (repeated rows, mirrors under other urls) count as one
+page, so that copies do not turn their own text into template; a very long page is read whole.
 """
 
 import re
@@ -240,23 +241,25 @@ _BLOCKS = pa.list_(pa.struct([("text", pa.string()), ("above", pa.list_(pa.int64
 def _parser(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         parsed = [Page(html or "") for html in batch.column("html").to_pylist()]
+        mains = [p.main_blocks() for p in parsed]
         yield pa.RecordBatch.from_arrays(
             [
                 *[batch.column(c) for c in ("page_id", "url", "host")],
+                pa.array([xxhash.xxh128_digest("\n".join(t for t, _ in m)) for m in mains], pa.binary()),
                 pa.array([sorted(set(p.subtrees)) for p in parsed], pa.list_(pa.int64())),
-                pa.array([[{"text": t, "above": a} for t, a in p.main_blocks()] for p in parsed], _BLOCKS),
+                pa.array([[{"text": t, "above": a} for t, a in m] for m in mains], _BLOCKS),
             ],
-            names=["page_id", "url", "host", "subtrees", "blocks"],
+            names=["page_id", "url", "host", "main", "subtrees", "blocks"],
         )
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
-    """page_id, url, host, distinct subtree hashes and blocks of each page, staged: a page is parsed once."""
+    """page_id, url, host, hash of the main text, distinct subtree hashes and blocks of each page, staged: a page is parsed once."""
     kind = pages.schema["page_id"].dataType.simpleString()
     return stage(
         pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host")).mapInArrow(
             _parser,
-            f"page_id {kind}, url string, host string, subtrees array<bigint>, blocks array<struct<text: string, above: array<bigint>>>",
+            f"page_id {kind}, url string, host string, main binary, subtrees array<bigint>, blocks array<struct<text: string, above: array<bigint>>>",
         ),
         "pages",
     )
@@ -264,8 +267,9 @@ def parse_pages(pages: DataFrame) -> DataFrame:
 
 def site_templates(parsed: DataFrame, least: int = LEAST_PAGES, share: float = SHARE) -> DataFrame:
     """host and the hashes of its template subtrees, one row for each host that has any."""
-    counts = parsed.select("host", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree").agg(F.count("*").alias("pages"))
-    totals = parsed.groupBy("host").agg(F.count("*").alias("host_pages"))
+    once = parsed.select("host", "main", F.explode("subtrees").alias("subtree")).distinct()  # rows with one main text are one page
+    counts = once.groupBy("host", "subtree").agg(F.count("*").alias("pages"))
+    totals = parsed.select("host", "main").distinct().groupBy("host").agg(F.count("*").alias("host_pages"))
     recurring = counts.where(F.col("pages") >= least).join(totals, "host").where(F.col("pages") >= share * F.col("host_pages"))
     return recurring.groupBy("host").agg(F.sort_array(F.collect_set("subtree")).alias("template"))
 

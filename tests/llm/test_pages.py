@@ -62,6 +62,16 @@ def test_templates_go_and_passages_stay(spark):
     assert html_template.extract_text(df.limit(0)).count() == 0
 
 
+def test_copies_of_a_page_keep_their_text(spark):
+    """Twenty rows of one page, some under other urls, are one page of their host; what the other pages repeat is still template."""
+    page = "<nav>{}</nav><article><div class=text><section>in<br>between</section><p>the copy</p></div><div>join us</div></article>"
+    pages = [(i, f"http://a.example/{i % 7}", page.format(i)) for i in range(20)]
+    pages += [(100 + i, f"http://a.example/o{i}", f"<article><p>own {i}</p><div>join us</div></article>") for i in range(30)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_template.extract_text(df).collect()}
+    assert got == {i: "in\nbetween\nthe copy" for i in range(20)} | {100 + i: f"own {i}" for i in range(30)}
+
+
 def brute_rule(url, rules):
     if url is None or "://" not in url:
         host = path = ""
