@@ -1,12 +1,14 @@
 """HTML extraction with site template removal.
 
-Every page is parsed into its element tree. The hash of each element subtree outside the prose is counted for its host in
-Spark, once for each different main text; a subtree that recurs across many pages of a host is template, and the text below it is deleted, as is what
-tags, roles and class names mark as navigation, header, footer, sidebar, notice, advert, form or comment. What stays inside
-the article (`article`, `main`, `role=main`; the body where there is none) is the main text.
+Every page is parsed into its element tree. The hash of each element subtree outside the passages is counted for its host in
+Spark, once for each different main text; a subtree that recurs across many pages of a host is template, and the text below it is deleted, be it
+inside the article or outside. What these counts leave open is settled by names: what tags, roles and class names mark as navigation,
+header, footer, sidebar, notice, advert, form or comment is deleted, and what then stays inside the article (`article`, `main`,
+`role=main`; the body where there is none) is the main text.
 
-Paragraphs and headings are never template themselves, however often a passage is repeated on a site, and nothing inside the prose
-of an article is: only containers are hashed.
+Containers are hashed: sections, lists, tables and figures, inside an article too. Paragraphs, headings and quotations are never
+template however often a passage is repeated on a site, and nothing inside them is, unless class names mark a paragraph or heading
+as an advert, notice or the like: then counts decide.
 
 Counts go by host and hash, so a host with a third of all pages is spread. A host's template list holds subtrees on at
 least SHARE of its pages, so it is no longer than the mean number of hashed elements of a page / SHARE, whatever the host's size.
@@ -20,12 +22,12 @@ page, so that copies do not turn their own text into template; a very long page
 """
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html import unescape
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from steadycare.sources.staging import stage
@@ -59,7 +61,8 @@ TABLE = {"table"}
 P, P_SCOPE = ("p",), {"article", "main", "div", "section", "td", "th", "li", "blockquote", "button"}
 OUTER, NO_SCOPE, ARTICLE_SCOPE = {"html", "body", "article", "main", "table"}, frozenset(), {"article", "main", "table"}
 NO_ATTRIBUTES: dict[str, str] = {}
-PROSE = set("p h1 h2 h3 h4 h5 h6 blockquote pre li ul ol dl dt dd table tbody thead tr td th figure figcaption".split())
+PARAGRAPH = set("p h1 h2 h3 h4 h5 h6".split())
+PASSAGE = PARAGRAPH | {"blockquote", "pre"}
 INLINE = set("a b i em strong span u s small sub sup code q cite abbr mark time font br img var kbd samp del ins label".split())
 DROPPED = set(
     "head script style noscript template nav footer aside button select option textarea input iframe object svg canvas "
@@ -68,6 +71,7 @@ DROPPED = set(
 NOT_HASHED = set(
     "html body head title meta link script style noscript article main li p h1 h2 h3 h4 h5 h6 blockquote pre dt dd figcaption tbody tr td th".split()
 ) | INLINE
+PART = set("thead tfoot caption colgroup legend summary".split())  # heads and feet of a table or list in an article go with their own whole
 ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 MARKED = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|advertisement|sponsor\w*|promo\w*|banner\w*|cookies?|consent|notice\w*|notification\w*|nav\w*|menu\w*"
@@ -129,7 +133,7 @@ class Page:
     def __init__(self, html: str):
         self.html = html
         self.subtrees: list[int | None] = []
-        self.blocks: list[tuple[str, tuple[int, ...], int]] = []  # text, numbers of subtrees, place
+        self.blocks: list[tuple[str, tuple[int, ...], int]] = []  # text, numbers of subtrees, place; of the whole page
         self._stack: list[tuple[_Element, int | None]] = []
         self._text: dict[int, tuple[tuple[int, ...], list[str]]] = {}  # of the block that is open, by place
         self.main = NOWHERE
@@ -151,10 +155,11 @@ class Page:
         content = within or _is_content(tag, attributes)
         if content and not within and inherited == MARK:
             inherited, below_mark = STAYS, True
-        prose = content and (bool(top and top.prose) or tag in PROSE or tag in INLINE)
+        inside = bool(top and top.prose)
+        prose = content and (inside or tag in PASSAGE)
         dropped = max(inherited, _dropped(tag, attributes, within))
         number = None
-        if not prose and tag not in NOT_HASHED:
+        if tag in PARAGRAPH and not inside and attributes and _marked(attributes) or not prose and tag not in NOT_HASHED and not (content and tag in PART):
             number = len(self.subtrees)
             self.subtrees.append(None)
         element = _Element(tag, start, dropped, content, below_mark, prose)
@@ -183,8 +188,6 @@ class Page:
         if not text:
             return
         place = self._stack[-1][0].place() if self._stack else BODY
-        if place == NOWHERE:
-            return
         if place not in self._text:
             self._text[place] = tuple(n for _, n in self._stack if n is not None), []
         self._text[place][1].append(text)
@@ -232,7 +235,11 @@ class Page:
 
     def main_blocks(self) -> list[tuple[str, list[int]]]:
         """Text of the blocks in the article, or in the body where there is none, with the hashes above each."""
-        return [(t, [self.subtrees[n] for n in above]) for t, above, place in self.blocks if place == self.main]
+        return [(t, above) for t, above in self.all_blocks() if t is not None]
+
+    def all_blocks(self) -> list[tuple[str | None, list[int]]]:
+        """All blocks of the page with the hashes above each; the text is None where names delete it."""
+        return [(t if place == self.main < NOWHERE else None, [self.subtrees[n] for n in above]) for t, above, place in self.blocks]
 
 
 _BLOCKS = pa.list_(pa.struct([("text", pa.string()), ("above", pa.list_(pa.int64()))]))
@@ -241,13 +248,13 @@ _BLOCKS = pa.list_(pa.struct([("text", pa.string()), ("above", pa.list_(pa.int64
 def _parser(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         parsed = [Page(html or "") for html in batch.column("html").to_pylist()]
-        mains = [p.main_blocks() for p in parsed]
+        blocks = [p.all_blocks() for p in parsed]
         yield pa.RecordBatch.from_arrays(
             [
                 *[batch.column(c) for c in ("page_id", "url", "host")],
-                pa.array([xxhash.xxh128_digest("\n".join(t for t, _ in m)) for m in mains], pa.binary()),
+                pa.array([xxhash.xxh128_digest("\n".join(t for t, _ in b if t is not None)) for b in blocks], pa.binary()),
                 pa.array([sorted(set(p.subtrees)) for p in parsed], pa.list_(pa.int64())),
-                pa.array([[{"text": t, "above": a} for t, a in m] for m in mains], _BLOCKS),
+                pa.array([[{"text": t, "above": a} for t, a in b] for b in blocks], _BLOCKS),
             ],
             names=["page_id", "url", "host", "main", "subtrees", "blocks"],
         )
@@ -274,16 +281,29 @@ def site_templates(parsed: DataFrame, least: int = LEAST_PAGES, share: float = S
     return recurring.groupBy("host").agg(F.sort_array(F.collect_set("subtree")).alias("template"))
 
 
-def extract_text(pages: DataFrame, least: int = LEAST_PAGES, share: float = SHARE) -> DataFrame:
-    """page_id, url, text and n_chars for each page; other columns are ignored."""
-    parsed = parse_pages(pages)
+def _with_templates(parsed: DataFrame, least: int, share: float) -> tuple[DataFrame, Callable[[Column], Column]]:
+    """Pages with the template list of their host, and whether counts delete a block."""
     templates = stage(site_templates(parsed, least, share), "templates")  # staged, so that its size is known to the join
     template = F.coalesce("template", F.array().cast("array<bigint>"))
-    kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["above"], template))
+    pages = parsed.select("page_id", "url", "host", "blocks").join(templates, "host", "left")
+    return pages, lambda b: F.arrays_overlap(b["above"], template)
+
+
+def extract_text(pages: DataFrame, least: int = LEAST_PAGES, share: float = SHARE) -> DataFrame:
+    """page_id, url, text and n_chars for each page; other columns are ignored."""
+    placed, recurs = _with_templates(parse_pages(pages), least, share)
+    kept = F.filter("blocks", lambda b: ~recurs(b) & b["text"].isNotNull())
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
-    return (
-        parsed.select("page_id", "url", "host", "blocks")
-        .join(templates, "host", "left")
-        .select("page_id", "url", text.alias("text"))
-        .withColumn("n_chars", F.length("text").cast("bigint"))
+    return placed.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def deleted_blocks(pages: DataFrame, least: int = LEAST_PAGES, share: float = SHARE) -> DataFrame:
+    """One row: blocks that counts delete, those of them that names would leave, blocks that names delete after that, blocks kept."""
+    placed, recurs = _with_templates(parse_pages(pages), least, share)
+    number = lambda name, rule: F.coalesce(F.sum(F.size(F.filter("blocks", rule))), F.lit(0)).alias(name)
+    return placed.agg(
+        number("by_counts", recurs),
+        number("by_counts_only", lambda b: recurs(b) & b["text"].isNotNull()),
+        number("by_names", lambda b: ~recurs(b) & b["text"].isNull()),
+        number("kept", lambda b: ~recurs(b) & b["text"].isNotNull()),
     )

@@ -72,6 +72,19 @@ def test_copies_of_a_page_keep_their_text(spark):
     assert got == {i: "in\nbetween\nthe copy" for i in range(20)} | {100 + i: f"own {i}" for i in range(30)}
 
 
+def test_counts_decide_in_and_outside_the_article(spark):
+    """Lists, tables and marked paragraphs that recur inside an article are template; a list of its own and plain passages stay."""
+    page = (
+        "<nav>home</nav><article><p>own {0}</p><ul><li>mine {0}</ul><p>passage</p><ul><li>links<li>more</ul><p class=subscribe>join</p>"
+        "<table><thead><tr><th>head</thead><tr><td>{0}</table><table><tr><td>notice</table><a><div>card</div></a></article><footer>page {0}</footer>"
+    )
+    df = spark.createDataFrame([(i, "http://a.example/", page.format(i)) for i in range(20)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_template.extract_text(df).collect()}
+    assert got == {i: f"own {i}\nmine {i}\npassage\nhead\n{i}" for i in range(20)}
+    # of 12 blocks a page, counts delete nav, two of the list, join, notice and card, and names the footer
+    assert html_template.deleted_blocks(df).first() == (6 * 20, 5 * 20, 20, 5 * 20)
+
+
 def brute_rule(url, rules):
     if url is None or "://" not in url:
         host = path = ""
