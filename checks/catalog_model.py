@@ -1,5 +1,6 @@
 """Model rows, splits, preparation, models, metrics, scoring."""
 
+import uuid
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -10,8 +11,9 @@ from steadycare.operators import models as md
 from steadycare.operators import prepare as pp
 from steadycare.operators import scoring as sc
 from steadycare.operators import splits as sp
-from steadycare.plans.retrain import RefreshSettings
+from steadycare.plans.retrain import RefreshSettings, search
 from steadycare.plans.retrain import score_requests as score_request_table
+from steadycare.sources.staging import shared_folder
 
 from .catalog_clean import ACTIVE, requests
 from .catalog_features import SURVEY_OUT
@@ -310,17 +312,13 @@ def feature_importance(c):
     return md.feature_importance(model, encoder, val.sparkSession)
 
 
-@query("grid_row:i parameters fold:i ap_near:r ap_test:r", staged=True)
+@query("trainer grid_row:i parameters fold:i ap_near:r ap_test:r", staged=True)
 def grid_search(c):
     rows = sp.stated_due_only(hs.visit_history(c.targets, c.visits))
     rows = sp.source_systems(rows, EMR_ALLOW, EMR_POSITIVE)
-    folds = sp.time_folds(rows, FOLDS).drop(
-        "nad_imputation_flag", "startartdate", "month", "dayofweek", "timeatfacility"
-    )
-    return md.grid_search(
-        c.stage(folds, "folds"), "logistic", md.grid(**md.GRIDS["logistic"]),
-        lambda df: c.stage(df, "fold"),
-    )
+    spark = rows.sparkSession
+    folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    return search(rows, FOLDS, folder, settle=c.stage)
 
 
 # --- metrics and thresholds ---

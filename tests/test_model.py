@@ -2,12 +2,16 @@
 
 import random
 from datetime import date, timedelta
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from checks import catalog_model
 from steadycare.operators import evaluate, models, prepare, ranks, scoring, splits
+from steadycare.operators import history as hs
+from steadycare.plans import retrain
 from steadycare.sources.sinks import read_encoder, read_thresholds, write_model
 
 # --- quantiles and curves ---
@@ -213,6 +217,23 @@ def test_grid_search(learnable):
     assert [(r["grid_row"], r["fold"]) for r in got] == [(0, 1), (1, 1)] and all(0 < r["ap_test"] <= 1 for r in got)
 
 
+def test_search_runs_every_grid_and_saves_its_table(learnable, spark, tmp_path, monkeypatch):
+    grids = {"forest": {"trees": [2], "depth": [2, 3]}, "logistic": {"penalty": [0.1, 1.0], "rounds": [3]}}
+    folds = splits.rolling_folds(date(2024, 1, 1), folds=1)
+    out = retrain.search(learnable, folds, str(tmp_path), grids, lambda df, name: df.cache())
+    saved = {(r["trainer"], r["grid_row"], r["fold"]) for r in spark.read.parquet(f"{tmp_path}/searches").collect()}
+    assert saved == {(t, n, 1) for t in grids for n in (0, 1)} and out.where("ap_test > 0").count() == 4
+
+    asked = []
+    monkeypatch.setattr(hs, "visit_history", lambda targets, visits: learnable)
+    monkeypatch.setattr(splits, "stated_due_only", lambda df: df)
+    monkeypatch.setattr(splits, "source_systems", lambda df, allow, positive: df)
+    monkeypatch.setattr(models, "grid_search", lambda rows, trainer, parameters, settle: asked.append((trainer, len(parameters))) or out.drop("trainer"))
+    clinic = SimpleNamespace(targets=None, visits=None, stage=lambda df, name: df)
+    catalog_model.grid_search(clinic)
+    assert asked == [("logistic", 4), ("forest", 32), ("gbt", 81)]
+
+
 def test_a_fold_of_one_class_is_reported(learnable):
     rows = splits.time_folds(learnable.withColumn("iit", F.lit(0)), splits.rolling_folds(date(2024, 1, 1), folds=1))
     got = models.grid_search(rows, "logistic", models.grid(penalty=[1.0]), lambda df: df.cache()).collect()
