@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     arrow_tokens,
+    best_fit,
     chat_tree,
     compression,
     decontaminate,
@@ -65,11 +66,17 @@ def op10_weighted_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return icws.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op13_best_fit(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = best_fit.piece_digests(best_fit.token_pieces(_table(spark, folder, "documents")))
+    return best_fit.place(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_wu_manber, op2_site_templates, op3_toxicity_trees, op4_compression_bands, op5_arrow_sequences, op6_quality_trees,
         op7_url_digests, op8_prefix_tree, op9_length_buckets, op10_weighted_minhash,
+        op13_best_fit,
     )
 }
 
