@@ -15,6 +15,7 @@ from . import (
     length_buckets,
     quality,
     toxicity,
+    turn_repair,
     url_digest,
 )
 
@@ -66,6 +67,11 @@ def op10_weighted_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return icws.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op12_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = _table(spark, folder, "conversations")
+    return turn_repair.repair_report(turn_repair.damaged(conversations), conversations)
+
+
 def op13_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     pieces = best_fit.piece_digests(best_fit.token_pieces(_table(spark, folder, "documents")))
     return best_fit.place(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -76,7 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_wu_manber, op2_site_templates, op3_toxicity_trees, op4_compression_bands, op5_arrow_sequences, op6_quality_trees,
         op7_url_digests, op8_prefix_tree, op9_length_buckets, op10_weighted_minhash,
-        op13_best_fit,
+        op12_turn_repair, op13_best_fit,
     )
 }
 
@@ -136,4 +142,100 @@ select conv_id, cast(n_turns as bigint) as n_turns, sha256(said) as turns_sha256
 from g
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_wu_manber": OP1_SQL, "op7_url_digests": OP7_SQL, "op8_prefix_tree": OP8_SQL}
+# Repair from left to right: after each row the least (cost, audit) for every state of the pattern, where inserts are taken
+# before a row and at the end. Then the letters of the audit are put on the rows.
+_FAR, _START = "{'c': 1000000000, 'a': ''}", "{'c': 0, 'a': ''}"
+_CRC = """xor(list_reduce(
+      [4294967295] || list_transform(range(1, length(k) + 1), lambda i: cast(unicode(k[i]) as bigint)),
+      lambda c, b: list_reduce([xor(c, b)] || [0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+
+def _with(state: str, cost: str, letter: str) -> str:
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}'}}"
+
+
+def _least(*choices: str) -> str:
+    return f"list_min([{', '.join(choices)}])"
+
+
+_INSERTED = (
+    "v.s0 as e0, v.s1 as e1, "
+    f"{_least('v.s2', _with('v.s0', '5', 'I'), _with('v.s1', '5', 'I'), _with('v.s3', '5', 'I'))} as e2, "
+    f"{_least('v.s3', _with('v.s2', '5', 'I'), _with('v.s0', '10', 'II'), _with('v.s1', '10', 'II'))} as e3"
+)
+_TO_USER, _STAYS = _least("e0", "e1", "e3"), "5 * truncated"
+_SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+OP12_SQL = f"""
+with recursive d as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    {_CRC} % 20 as chance
+  from (select *, coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as k from conversations)),
+r as (
+  select conv_id, turn, case when chance = 4 then 'user' else role end as role,
+    case when chance = 1 then '' when chance = 2 then translate(text, '.!?', '') else text end as text,
+    unnest(range(case when chance = 3 then 2 else 1 end)) as copy
+  from d where chance <> 0),
+o as (
+  select *, sha256(text) as digest, rtrim(text, {_SPACES}) as trimmed, left(role, 1) as initial from r),
+n as (
+  select conv_id, turn, role, text, initial, trimmed,
+    row_number() over (partition by conv_id order by turn nulls first, role, digest, copy) as i,
+    row_number() over (partition by conv_id, role, text order by turn nulls first, copy) as k
+  from o),
+f as (
+  select *, trimmed = '' as blank, trimmed <> '' and k > 1 as duplicate,
+    cast(trimmed <> '' and k = 1 and right(trimmed, 1) not in ('.', '!', '?') as int) as truncated,
+    lag(initial) over (partition by conv_id order by i) as before
+  from n),
+sums as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count(*) filter (blank) as blank, count(*) filter (duplicate) as duplicate, sum(truncated) as truncated,
+    count(*) filter (before is not null and before || initial not in ('su', 'ua', 'au')) as illegal, count(*) as rows
+  from f group by conv_id),
+v as (
+  select conv_id, cast(0 as bigint) as i, {_START} as s0, {_FAR} as s1, {_FAR} as s2, {_FAR} as s3 from sums
+  union all
+  select conv_id, i, {_with('e0', '2', 'D')},
+    {_least(_with('e1', '2', 'D'), f"case when initial = 's' and not go then {_with('e0', _STAYS, 'K')} else {_FAR} end")},
+    {_least(
+        _with('e2', '2', 'D'),
+        f"case when go then {_FAR} when initial = 'u' then {_with(_TO_USER, _STAYS, 'K')} else {_with(_TO_USER, '1 + ' + _STAYS, 'R')} end",
+    )},
+    {_least(
+        _with('e3', '2', 'D'),
+        f"case when go then {_FAR} when initial = 'a' then {_with('e2', _STAYS, 'K')} else {_with('e2', '1 + ' + _STAYS, 'R')} end",
+    )}
+  from (
+    select f.conv_id, f.i, initial, truncated, blank or duplicate as go, {_INSERTED}
+    from v join f on f.conv_id is not distinct from v.conv_id and f.i = v.i + 1)),
+best as (
+  select conv_id, {_least('e0', 'e3')} as b from (
+    select v.conv_id, {_INSERTED} from v join sums on sums.conv_id is not distinct from v.conv_id and sums.rows = v.i)),
+letters as (
+  select conv_id, unnest(range(1, length(b.a) + 1)) as spot, b.a as audit from best),
+marked as (
+  select conv_id, spot, substring(audit, spot, 1) as letter, spot - (length(left(audit, spot)) - length(replace(left(audit, spot), 'I', ''))) as i
+  from letters),
+kept as (
+  select m.conv_id, spot, letter, role, text, row_number() over (partition by m.conv_id order by spot) as place
+  from marked m left join f on f.conv_id is not distinct from m.conv_id and f.i = m.i and letter <> 'I' where letter <> 'D'),
+led as (
+  select conv_id, cast(max(case when place = 1 and letter = 'K' and left(role, 1) = 's' then 1 else 0 end) as int) as lead
+  from kept group by conv_id),
+hashes as (
+  select k.conv_id, sha256(string_agg(
+    case when letter = 'K' then role when (place - lead) % 2 = 1 then 'user' else 'assistant' end || ':' || coalesce(text, ''),
+    chr(10) order by place)) as sha
+  from kept k join led l on l.conv_id is not distinct from k.conv_id group by k.conv_id)
+select a.conv_id, cast(coalesce(gaps, 0) as bigint) as gaps, cast(coalesce(blank, 0) as bigint) as blank,
+  cast(coalesce(duplicate, 0) as bigint) as duplicate, cast(coalesce(truncated, 0) as bigint) as truncated,
+  cast(coalesce(illegal, 0) as bigint) as illegal, cast(coalesce(b.c, 0) as bigint) as cost, coalesce(b.a, '') as audit,
+  coalesce(sha, sha256('')) as repaired_sha256
+from (select distinct conv_id from conversations) a
+left join sums s on s.conv_id is not distinct from a.conv_id
+left join best on best.conv_id is not distinct from a.conv_id
+left join hashes h on h.conv_id is not distinct from a.conv_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_wu_manber": OP1_SQL, "op7_url_digests": OP7_SQL, "op8_prefix_tree": OP8_SQL, "op12_turn_repair": OP12_SQL}
