@@ -3,6 +3,7 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import (
     arrow_tokens,
@@ -14,6 +15,7 @@ from . import (
     icws,
     length_buckets,
     quality,
+    residue_negatives,
     toxicity,
     turn_repair,
     url_digest,
@@ -67,6 +69,15 @@ def op10_weighted_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return icws.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op11_residue_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return residue_negatives.hard_negatives(_rotated(_table(spark, folder, "embeddings")))
+
+
+def _rotated(embeddings: DataFrame) -> DataFrame:
+    """Every seventh row, by id, gets the next of ten labels."""
+    return embeddings.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+
+
 def op12_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
     conversations = _table(spark, folder, "conversations")
     return turn_repair.repair_report(turn_repair.damaged(conversations), conversations)
@@ -82,7 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_wu_manber, op2_site_templates, op3_toxicity_trees, op4_compression_bands, op5_arrow_sequences, op6_quality_trees,
         op7_url_digests, op8_prefix_tree, op9_length_buckets, op10_weighted_minhash,
-        op12_turn_repair, op13_best_fit,
+        op11_residue_negatives, op12_turn_repair, op13_best_fit,
     )
 }
 
@@ -142,6 +153,28 @@ select conv_id, cast(n_turns as bigint) as n_turns, sha256(said) as turns_sha256
 from g
 """
 
+OP11_SQL = """
+with e as (
+  select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select a.r as anchor, a.vec_id as anchor_id, b.r as other, b.vec_id as other_id, a.label = b.label as same,
+    cast(list_inner_product(a.v, b.v) as bigint) as score
+  from e a, e b where a.vec_id % 100 = 0 and a.r <> b.r),
+p as (
+  select anchor, anchor_id, other_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor order by score desc, other_id, other) <= 5),
+n as (
+  select p.*, s.other_id as negative_id, s.score as negative_score,
+    row_number() over (partition by p.anchor, p.positive_id order by s.score desc, s.other_id) as rank
+  from p join s on s.anchor = p.anchor and not same
+    and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score)
+select anchor_id, positive_id, cast(rank as int) as rank, negative_id, positive_score, negative_score from n where rank <= 10
+"""
+
 # Repair from left to right: after each row the least (cost, audit) for every state of the pattern, where inserts are taken
 # before a row and at the end. Then the letters of the audit are put on the rows.
 _FAR, _START = "{'c': 1000000000, 'a': ''}", "{'c': 0, 'a': ''}"
@@ -238,4 +271,4 @@ left join best on best.conv_id is not distinct from a.conv_id
 left join hashes h on h.conv_id is not distinct from a.conv_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_wu_manber": OP1_SQL, "op7_url_digests": OP7_SQL, "op8_prefix_tree": OP8_SQL, "op12_turn_repair": OP12_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_wu_manber": OP1_SQL, "op7_url_digests": OP7_SQL, "op8_prefix_tree": OP8_SQL, "op11_residue_negatives": OP11_SQL, "op12_turn_repair": OP12_SQL}
