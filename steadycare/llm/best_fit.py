@@ -133,9 +133,23 @@ def best_fit(histogram: dict[int, int], capacity: int = CAPACITY) -> Layout:
 # --- pieces ---------------------------------------------------------------------------------
 
 
+LEARNED = 512  # stretches that the library encodes at once: its results are a hundred times their texts
+REMEMBERED = 400_000  # stretches that a Python worker remembers
+ENCODED = 1 << 19  # bytes of texts that are encoded at once
+
+
 class WordEncoder(Encoder):
     """Encodes by the stretches between white space, for tokenizers that drop it, cut further where letters meet marks."""
 
+    def _learn(self, stretches: list[str]) -> None:
+        for at in range(0, len(stretches), LEARNED):
+            super()._learn(stretches[at : at + LEARNED])
+
+    def _entries(self, flat: Flat, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        if len(self._keys) > REMEMBERED:
+            self._forget()
+        return super()._entries(flat, starts, ends)
+
     def _slice(self, flat: Flat, want_ids: bool) -> tuple[np.ndarray, np.ndarray]:
         starts, ends, _ = flat.runs(~_SPACE)
         cuts = inner_borders(flat)
@@ -187,8 +201,11 @@ def _documents(texts: pa.Array, encoder: WordEncoder, limit: int) -> Iterator[tu
     sizes = np.diff(np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1])
     row = 0
     for long in [*np.flatnonzero(sizes > limit).tolist(), len(texts)]:
-        for a, b, ids, counts in encoder.encode(texts.slice(row, long - row)):
-            yield row + a, row + b, ids, counts, True
+        while row < long:
+            end = max(row + 1, row + int(np.searchsorted(np.cumsum(sizes[row:long]), ENCODED, "right")))
+            for a, b, ids, counts in encoder.encode(texts.slice(row, end - row)):
+                yield row + a, row + b, ids, counts, True
+            row = end
         if long < len(texts):
             for part in _parts(texts[long].as_py(), limit):
                 ids = [ids for _, _, ids, _ in encoder.encode(pa.array([part]))]
