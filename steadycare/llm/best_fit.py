@@ -16,6 +16,8 @@ ids are packed one by one; an empty table gives no rows; a very long text is enc
 space, which the tokenizer drops); columns other than doc_id and text are ignored.
 """
 
+import json
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,6 +37,7 @@ CAPACITY = 2048
 END_ID = 0
 
 _SPACE = byte_class(lambda b: b in (9, 10, 13, 32))
+_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch  # letters that surely make one word
 
 
 # --- the layout -----------------------------------------------------------------------------
@@ -133,17 +136,53 @@ def best_fit(histogram: dict[int, int], capacity: int = CAPACITY) -> Layout:
 # --- pieces ---------------------------------------------------------------------------------
 
 
-LEARNED = 512  # stretches that the library encodes at once: its results are a hundred times their texts
-REMEMBERED = 400_000  # stretches that a Python worker remembers
-ENCODED = 1 << 19  # bytes of texts that are encoded at once
+LEARNED = 4096  # stretches that the library encodes at once: its results are a hundred times their texts
+REMEMBERED = 600_000  # stretches that a Python worker remembers
+ENCODED = 1 << 20  # bytes of texts that are encoded at once
 
 
 class WordEncoder(Encoder):
     """Encodes by the stretches between white space, for tokenizers that drop it, cut further where letters meet marks."""
 
+    def __init__(self, path: str):
+        super().__init__(path)
+        suffix = json.loads(self.library.to_str())["model"].get("end_of_word_suffix")
+        self._ends_word: np.ndarray | None = None  # by id: whether it ends a word
+        if suffix:
+            vocabulary = self.library.get_vocab()
+            self._ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+            self._ends_word[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids end to end, and how many each has, of stretches that are one word each: encoded as one text, which costs a quarter."""
+        if self._ends_word is None or not words:
+            return None
+        ids = np.array(self.library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.flatnonzero(self._ends_word[ids]) + 1
+        return (ids, np.diff(ends, prepend=0)) if len(ends) == len(words) and ends[-1] == len(ids) else None
+
     def _learn(self, stretches: list[str]) -> None:
         for at in range(0, len(stretches), LEARNED):
-            super()._learn(stretches[at : at + LEARNED])
+            part = stretches[at : at + LEARNED]
+            word = np.fromiter((_WORD(s) is not None for s in part), bool, len(part))
+            found = self._words([s for s, w in zip(part, word) if w])
+            if found is None:
+                super()._learn(part)
+                continue
+            rest = [s for s, w in zip(part, word) if not w]
+            others = [np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast(rest, add_special_tokens=False)] if rest else []
+            lengths = np.zeros(len(part), np.int64)
+            lengths[word], lengths[~word] = found[1], [len(x) for x in others]
+            starts = np.cumsum(lengths) - lengths
+            ids = np.zeros(lengths.sum(), np.uint32)
+            ids[np.repeat(starts[word] - np.cumsum(found[1]) + found[1], found[1]) + np.arange(len(found[0]))] = found[0]
+            for start, x in zip(starts[~word].tolist(), others):
+                ids[start : start + len(x)] = x
+            bounds = self._bounds[-1] + np.cumsum(lengths)
+            if bounds[-1] > len(self._ids):
+                self._ids = np.concatenate([self._ids, np.zeros(max(len(self._ids), bounds[-1]), np.uint32)])
+            self._ids[self._bounds[-1] : bounds[-1]] = ids
+            self._bounds = np.concatenate([self._bounds, bounds])
 
     def _entries(self, flat: Flat, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         if len(self._keys) > REMEMBERED:
