@@ -11,7 +11,8 @@ from steadycare.operators import models as md
 from steadycare.operators import prepare as pp
 from steadycare.operators import scoring as sc
 from steadycare.operators import splits as sp
-from steadycare.plans.retrain import RefreshSettings, search
+from steadycare.plans import search as se
+from steadycare.plans.retrain import RefreshSettings
 from steadycare.plans.retrain import score_requests as score_request_table
 from steadycare.sources.staging import shared_folder
 
@@ -312,13 +313,45 @@ def feature_importance(c):
     return md.feature_importance(model, encoder, val.sparkSession)
 
 
+def search_pool(c):
+    rows = sp.stated_due_only(hs.visit_history(c.targets, c.visits))
+    return sp.source_systems(rows, EMR_ALLOW, EMR_POSITIVE)
+
+
+def new_folder(spark):
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
 @query("trainer grid_row:i parameters fold:i ap_near:r ap_test:r", staged=True)
 def grid_search(c):
-    rows = sp.stated_due_only(hs.visit_history(c.targets, c.visits))
-    rows = sp.source_systems(rows, EMR_ALLOW, EMR_POSITIVE)
-    spark = rows.sparkSession
-    folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    return search(rows, FOLDS, folder, settle=c.stage)
+    rows = search_pool(c)
+    return se.search(rows, FOLDS, new_folder(rows.sparkSession), settle=c.stage)
+
+
+GRID_SIZES = {trainer: len(md.grid(**choices)) for trainer, choices in md.GRIDS.items()}
+
+
+@query(
+    "trainer grid_row:i fold:i n_train:l n_val:l n_near:l n_test:l",
+    f"""select trainer, grid_row, fold, count(*) filter (slice = 'train') as n_train, count(*) filter (slice = 'val') as n_val,
+      count(*) filter (slice = 'testnear') as n_near, count(*) filter (slice = 'test') as n_test
+    from o_history r join (values {', '.join(
+        f"({f.number}, '{f.slice}', date '{f.first}', date '{f.last}')" for f in FOLDS
+    )}) as f(fold, slice, first, last) on r.nad between first and last,
+    (select trainer, unnest(range(n)) as grid_row from (values {', '.join(f"('{t}', {n})" for t, n in GRID_SIZES.items())}) as g(trainer, n))
+    where nad_imputation_flag = 0 and emr in {EMR_ALLOW}
+    group by trainer, grid_row, fold""",
+    staged=True,
+)
+def search_rows(c):
+    """How many rows every fit of the search reads."""
+    return se.search_rows(search_pool(c), FOLDS)
+
+
+@query("key visitdate nad sitecode iit:i slice fold:i score:r", staged=True)
+def test_predictions(c):
+    rows = search_pool(c)
+    return se.predict_tests(rows, FOLDS, new_folder(rows.sparkSession), "gbt", {}, c.stage)
 
 
 # --- metrics and thresholds ---

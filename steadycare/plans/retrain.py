@@ -59,19 +59,6 @@ def retrain(care: Care, settings: RefreshSettings, folder: str, at: datetime | N
     return version
 
 
-def search(
-    rows: DataFrame, folds: list[splits.Fold], folder: str, grids: dict[str, dict[str, list]] = models.GRIDS, settle=stage,
-) -> DataFrame:
-    """Average precision of every row of each trainer's grid on every fold, saved as `<folder>/searches`: a table for each
-    trainer, written when its search ends, the cheapest trainer first."""
-    parts = splits.time_folds(rows, folds).drop("nad_imputation_flag", "startartdate", "month", "dayofweek", "timeatfacility")
-    parts, path = settle(parts, "folds"), f"{folder}/searches"
-    for trainer in sorted(grids, key=["logistic", "forest", "gbt"].index):
-        found = models.grid_search(parts, trainer, models.grid(**grids[trainer]), lambda df: settle(df, "fold"))
-        found.write.mode("overwrite").parquet(f"{path}/trainer={trainer}")
-    return rows.sparkSession.read.parquet(path)
-
-
 def score_requests(
     requests: DataFrame, raw: dict[str, DataFrame], period: tuple[str, str], site_table: DataFrame,
     scorer: scoring.Scorer, thresholds: DataFrame, settings: RefreshSettings, settle=stage, on: date | None = None,

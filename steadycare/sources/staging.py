@@ -55,6 +55,13 @@ def drop_staged(spark: SparkSession) -> None:
     _delete(spark, f"{shared_folder(spark)}/{spark.sparkContext.applicationId}")
 
 
+def finished_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders that match a pattern and were written whole."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{pattern}/_SUCCESS")
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(str(f.getPath().getParent()) for f in found or [])
+
+
 def _delete(spark: SparkSession, folder: str) -> None:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

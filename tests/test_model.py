@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from checks import catalog_model
 from steadycare.operators import evaluate, models, prepare, ranks, scoring, splits
-from steadycare.operators import history as hs
-from steadycare.plans import retrain
+from steadycare.plans import search
 from steadycare.sources.sinks import read_encoder, read_thresholds, write_model
 
 # --- quantiles and curves ---
@@ -210,51 +209,66 @@ def test_models_beat_a_constant_score(learnable, trainer, options):
         assert top["feature"] == "lateness_last5"
 
 
-def test_grid_search(learnable):
-    rows = splits.time_folds(learnable, splits.rolling_folds(date(2024, 1, 1), folds=1))
-    out = models.grid_search(rows, "logistic", models.grid(penalty=[0.1, 1.0], rounds=[5]), lambda df: df.cache())
-    got = out.collect()
-    assert [(r["grid_row"], r["fold"]) for r in got] == [(0, 1), (1, 1)] and all(0 < r["ap_test"] <= 1 for r in got)
+GRIDS = {
+    "gbt": {"eta": [0.1, 0.3], "depth": [2], "rounds": [6]},
+    "forest": {"trees": [2], "depth": [2, 3]},
+    "logistic": {"penalty": [0.1, 1.0], "rounds": [3]},
+}
+TWO_FOLDS = splits.rolling_folds(date(2024, 1, 1), folds=2, step=1)
 
 
-def test_search_runs_every_grid_and_saves_its_table(learnable, spark, tmp_path, monkeypatch):
-    grids = {"forest": {"trees": [2], "depth": [2, 3]}, "logistic": {"penalty": [0.1, 1.0], "rounds": [3]}}
-    folds = splits.rolling_folds(date(2024, 1, 1), folds=1)
-    out = retrain.search(learnable, folds, str(tmp_path), grids, lambda df, name: df.cache())
-    saved = {(r["trainer"], r["grid_row"], r["fold"]) for r in spark.read.parquet(f"{tmp_path}/searches").collect()}
-    assert saved == {(t, n, 1) for t in grids for n in (0, 1)} and out.where("ap_test > 0").count() == 4
+@pytest.mark.parametrize("task_rows", [0, 10_000])
+def test_a_search_runs_every_grid_and_saves_what_ended(learnable, spark, tmp_path, task_rows):
+    grids = GRIDS if task_rows else {"gbt": {**GRIDS["gbt"], "rounds": [2]}}
+    out = search.search(learnable, TWO_FOLDS, str(tmp_path), grids, task_rows=task_rows).collect()
+    assert sorted((r.trainer, r.grid_row, r.fold) for r in out) == sorted((t, n, f) for t in grids for n in (0, 1) for f in (1, 2))
+    assert all(0 < r.ap_test <= 1 and 0 < r.ap_near <= 1 for r in out)
+    best = {r.trainer: r for r in models.best_parameters(search.read_results(spark, str(tmp_path))).collect()}
+    assert set(best) == set(grids) and all(r.folds == 2 for r in best.values())
 
+
+def test_a_search_that_broke_goes_on_with_what_is_left(learnable, spark, tmp_path, monkeypatch):
+    grids, fitted, real = {"logistic": GRIDS["logistic"]}, [], models.TRAINERS["logistic"]
+
+    def fails_once(train, val, **choice):
+        fitted.append(choice["penalty"])
+        if len(fitted) == 3:
+            raise RuntimeError("lost")
+        return real(train, val, **choice)
+
+    monkeypatch.setitem(models.TRAINERS, "logistic", fails_once)
+    with pytest.raises(RuntimeError, match="lost"):
+        search.search(learnable, TWO_FOLDS, str(tmp_path), grids, parallel=1)
+    assert len(fitted) == 4 and search.read_results(spark, str(tmp_path)).count() == 3
+    assert search.search(learnable, TWO_FOLDS, str(tmp_path), grids, parallel=1).count() == 4 and len(fitted) == 5
+    search.search(learnable, TWO_FOLDS, str(tmp_path), grids, parallel=1)
+    assert len(fitted) == 5
+
+
+def test_a_fold_of_one_class_is_reported(learnable, tmp_path):
+    rows = learnable.withColumn("iit", F.lit(0))
+    got = search.search(rows, TWO_FOLDS[:4], str(tmp_path), {"logistic": {"penalty": [1.0]}, "gbt": {"eta": [0.1]}}).collect()
+    assert [(r.fold, r.ap_test) for r in got] == [(1, None)] * 2 and all(r.reason for r in got)
+
+
+def test_the_registered_search_takes_all_grids(monkeypatch):
     asked = []
-    monkeypatch.setattr(hs, "visit_history", lambda targets, visits: learnable)
-    monkeypatch.setattr(splits, "stated_due_only", lambda df: df)
-    monkeypatch.setattr(splits, "source_systems", lambda df, allow, positive: df)
-    monkeypatch.setattr(models, "grid_search", lambda rows, trainer, parameters, settle: asked.append((trainer, len(parameters))) or out.drop("trainer"))
-    clinic = SimpleNamespace(targets=None, visits=None, stage=lambda df, name: df)
-    catalog_model.grid_search(clinic)
-    assert asked == [("logistic", 4), ("forest", 32), ("gbt", 81)]
-
-
-def test_a_fold_of_one_class_is_reported(learnable):
-    rows = splits.time_folds(learnable.withColumn("iit", F.lit(0)), splits.rolling_folds(date(2024, 1, 1), folds=1))
-    got = models.grid_search(rows, "logistic", models.grid(penalty=[1.0]), lambda df: df.cache()).collect()
-    assert [(r["fold"], r["ap_test"]) for r in got] == [(1, None)] and got[0]["reason"]
-
-
-def test_boosting_keeps_more_than_one_tree(spark):
-    rng = random.Random(3)
-    rows = [(float(a), float(b), int((a > 0.5) != (b > 0.5))) for a, b in ((rng.random(), rng.random()) for _ in range(800))]
-    df = spark.createDataFrame(rows, "a double, b double, iit int").withColumn("key", F.monotonically_increasing_id().cast("string"))
-    train, val = df.filter("a * 100 % 2 < 1"), df.filter("a * 100 % 2 >= 1")
-    encoder = models.fit_encoder(df, train)
-    score = lambda rounds: models.gbt(encoder.apply(train), encoder.apply(val), rounds=rounds, depth=3, eta=0.01)
-    many = score(12)
-    assert many.getNumTrees > 1
-    whole = models.gbt(encoder.apply(train), rounds=4, depth=3)
-    first = models.first_trees(whole, 2)
-    again = models.gbt(encoder.apply(train), rounds=2, depth=3)
-    assert first.getNumTrees == 2
-    total = lambda model: models.predict(model, encoder.apply(val)).agg(F.sum("score")).first()[0]
-    assert total(first) == pytest.approx(total(again)) and total(first) != pytest.approx(total(whole))
+    monkeypatch.setattr(catalog_model, "search_pool", lambda c: SimpleNamespace(sparkSession=None))
+    monkeypatch.setattr(catalog_model, "new_folder", lambda session: "x")
+    monkeypatch.setattr(search, "search", lambda rows, folds, folder, grids=models.GRIDS, settle=None: asked.append((folds, grids)))
+    catalog_model.grid_search(SimpleNamespace(stage=None))
+    (folds, grids), sizes = asked[0], catalog_model.GRID_SIZES
+    assert {f.number for f in folds} == {1, 2, 3, 4, 5} and grids is models.GRIDS
+    assert sizes == {"logistic": 4, "forest": 32, "gbt": 81}
+
+
+def test_test_predictions_are_saved_by_fold(learnable, spark, tmp_path):
+    search.predict_tests(learnable, TWO_FOLDS, str(tmp_path), "gbt", {"rounds": 5, "depth": 2, "eta": 0.3})
+    got = spark.read.option("basePath", f"{tmp_path}/predictions").parquet(f"{tmp_path}/predictions/trainer=gbt")
+    want = splits.time_folds(learnable, TWO_FOLDS).where("slice IN ('testnear', 'test')")
+    names = ["fold", "slice", "key"]
+    assert got.where("score BETWEEN 0 AND 1").select(names).exceptAll(want.select(names)).count() == 0
+    assert got.count() == want.count() > 0
 
 
 def test_encoder_has_no_limit_on_categories(spark):
