@@ -1,5 +1,7 @@
 """Sources, cleaning, scalar features, labels."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from steadycare.functions import clinical, person, recode
@@ -7,8 +9,10 @@ from steadycare.functions.parsing import blank_to_null as null_blanks
 from steadycare.functions.parsing import lower_names, map_strings, parse_date, parse_number
 from steadycare.functions.recode import coerce_numeric as to_numbers
 from steadycare.operators import clean, dedup, targets as tg, visits as vs
+from steadycare.sources.layout import PatientTables
 from steadycare.sources.readers import requested_rows
 from steadycare.sources.schemas import conform
+from steadycare.sources.staging import shared_folder
 
 from .oracle import day, flag, gap_group as sql_gap_group, logical, number
 from .registry import query
@@ -58,6 +62,20 @@ def src_patient_read(c):
     return requested_rows(c.raw["pharmacy"], requests(c), by_site=False)
 
 
+@query(
+    "patientpkhash sitecode orderedbydate testname testresult",
+    f"select * from x_lab v where exists (select 1 from x_dem d where d.PatientPKHash = v.PatientPKHash "
+    f"and d.MFLCode = v.SiteCode and {ACTIVE} and d.PatientPKHash like 'P%7')",
+)
+def src_bucket_read(c):
+    """Laboratory rows of some patients, from a table laid out by patient."""
+    spark = c.raw["lab"].sparkSession
+    folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    tables = PatientTables(spark, folder, names=("lab",)).write_all(c.raw)
+    few = requests(c).where("patientpkhash LIKE 'P%7'")
+    return requested_rows(tables.of_patients("lab", few), few)
+
+
 # --- columns, filters ---
 
 

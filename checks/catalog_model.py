@@ -14,11 +14,13 @@ from steadycare.operators import splits as sp
 from steadycare.plans import search as se
 from steadycare.plans.retrain import RefreshSettings
 from steadycare.plans.retrain import score_requests as score_request_table
+from steadycare.sources.layout import PatientTables
 from steadycare.sources.staging import shared_folder
 
 from .catalog_clean import ACTIVE, requests
 from .catalog_features import SURVEY_OUT
 from .registry import query
+from .oracle import SHORT_END
 from .views import EMR_ALLOW, EMR_POSITIVE, END, REFRESH, START
 
 FOLD_START = date(1999, 1, 1)
@@ -247,6 +249,26 @@ def vif(c):
     return pp.vif(hs.lateness(c.targets), LATENESS_COLUMNS)
 
 
+THREE = ("lateness_last5", "late_last5", "late30_last3")
+
+
+def _factor(a: str, b: str, c: str) -> str:
+    """Variance inflation of the first of three columns, from their correlations."""
+    ab, ac, bc = (f"corr({x}, {y})" for x, y in ((a, b), (a, c), (b, c)))
+    return f"1 / (1 - (pow({ab}, 2) + pow({ac}, 2) - 2 * {ab} * {ac} * {bc}) / (1 - pow({bc}, 2)))"
+
+
+@query(
+    "feature vif:r",
+    " union all ".join(
+        f"select '{a}' as feature, {_factor(a, *[x for x in THREE if x != a])} as vif from o_lateness where " + " and ".join(f"{x} is not null" for x in THREE)
+        for a in THREE
+    ),
+)
+def vif_three(c):
+    return pp.vif(hs.lateness(c.targets), list(THREE))
+
+
 STEPS = ["late", "late14", "late30", "daystonextappointment"]
 
 
@@ -465,3 +487,34 @@ def score_requests(c):
         requests(c), c.raw, (START, END), c.latest_sites, stand_in, limits(c), settings, c.stage
     )
     return flat(answers)
+
+
+ANSWER = (
+    "patientpkhash sitecode key period_start period_end score:r pred_cat avg_days_late_last5visits:r months_on_art:r most_recent_viralload adherence "
+    "unscheduled_visits"
+)
+ANSWERED = "r.score, coalesce(r.pred_cat, 'unavailable') as pred_cat, r.avg_days_late_last5visits, r.months_on_art, r.most_recent_viralload, r.adherence, r.unscheduled_visits"
+
+
+@query(
+    ANSWER,
+    f"""select d.patientpkhash, d.sitecode, d.key, date '{START}' as period_start, date '{END}' as period_end, {ANSWERED}
+    from (select PatientPKHash as patientpkhash, MFLCode as sitecode, PatientPKHash || MFLCode as key from x_dem where {ACTIVE}) d
+    left join o_reported_alone r using (key)
+    union all
+    select d.PatientPKHash, r.sitecode, r.key, date '{START}', date '{SHORT_END}', {ANSWERED}
+    from x_dem d left join o_reported_alone_short r on r.key = d.PatientPKHash || r.sitecode where {ACTIVE}""",
+    staged=True,
+)
+def score_periods(c):
+    """Two requests for each active patient, read from tables laid out by patient: one at a site, and one at all sites for a shorter period."""
+    spark = c.raw["dem"].sparkSession
+    tables = PatientTables(spark, new_folder(spark), buckets=16).write_all(c.raw)
+    at_site = requests(c).withColumns({"start": F.lit(START).cast("date"), "end": F.lit(END).cast("date")})
+    anywhere = requests(c).withColumns(
+        {"sitecode": F.lit(None).cast("string"), "start": F.lit(START).cast("date"), "end": F.lit(SHORT_END).cast("date")}
+    )
+    settings = RefreshSettings(REFRESH, EMR_ALLOW, EMR_POSITIVE)
+    asked = at_site.unionByName(anywhere)
+    answers = score_request_table(asked, tables, (START, END), c.latest_sites, stand_in, limits(c), settings, c.stage)
+    return flat(answers).withColumnsRenamed({"start": "period_start", "end": "period_end"})

@@ -340,6 +340,26 @@ from (select score, hits, n, sum(hits) over w as tp, sum(n) over w as n_through,
  window w as (order by score desc))"""
 
 
+def for_period(root: str, kept: str, suffix: str, end: str) -> None:
+    """Copies of an expression and of all it uses, but for `kept`, for a study period with another end."""
+    names: list[str] = []
+
+    def visit(name: str) -> None:
+        if name in CTES and name != kept and name not in names:
+            names.append(name)
+            for other in re.findall(r"\bo_\w+", CTES[name]):
+                visit(other)
+
+    visit(root)
+    for name in names:
+        text = re.sub(r"\bo_\w+", lambda m: m[0] + suffix if m[0] in names else m[0], CTES[name])
+        CTES[name + suffix] = text.replace(f"date '{END}'", f"date '{end}'")
+
+
+SHORT_END = "2000-01-31"
+for_period("o_reported_alone", "o_site_thresholds", "_short", SHORT_END)
+
+
 def with_ctes(sql: str) -> str:
     """The statement with the expressions it uses, in dependency order."""
     order: list[str] = []

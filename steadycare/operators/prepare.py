@@ -4,11 +4,12 @@ Fitted state that reaches the driver (means, modes, a correlation matrix) is per
 except those that `one_hot` turns into columns.
 """
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -183,6 +184,101 @@ def ordered_features(df: DataFrame, order: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in order])
 
 
+# --- moments --------------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Moments:
+    """Rows, means, and sums of squares and products about the means."""
+
+    columns: tuple[str, ...]
+    n: int
+    means: np.ndarray
+    products: np.ndarray
+
+    @property
+    def deviations(self) -> np.ndarray:
+        """Population standard deviations; exactly 0 for a constant column."""
+        return np.sqrt(np.maximum(np.diag(self.products), 0) / max(self.n, 1))
+
+    def correlations(self) -> np.ndarray:
+        """NaN where a column has no spread."""
+        spread = np.sqrt(np.maximum(np.diag(self.products), 0))
+        with np.errstate(invalid="ignore", divide="ignore"):
+            return self.products / spread / spread[:, None]
+
+
+def moments(df: DataFrame, columns: list[str], complete: bool = True) -> Moments:
+    """Moments of numeric columns in one pass: of rows without a null, or with `complete` off of each column's own values
+    (then only means and deviations have a meaning).
+
+    A task adds up its batches about their own means, so large values lose no digits; the tables of tasks (columns x columns) are added
+    in two shuffles, and one reaches the driver. A value that is not a number counts as null.
+    """
+    p = len(columns)
+    rows = df.select(*[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(columns)])
+    schema = "part int, n array<bigint>, means array<double>, products array<double>"
+
+    def table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = None
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]) if p else np.zeros((batch.num_rows, 0))
+            known = ~np.isnan(x)
+            if complete:
+                x, known = x[known.all(1)], known[known.all(1)]
+            found = _added(found, _table(x, known))
+        if found is not None:
+            yield _packed(TaskContext.get().partitionId(), *found)
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = None
+        for batch in batches:
+            for row in batch.to_pylist():
+                found = _added(found, (np.array(row["n"]), np.array(row["means"]), np.array(row["products"]).reshape(p, p)))
+        if found is not None:
+            yield _packed(TaskContext.get().partitionId(), *found)
+
+    tables = rows.mapInArrow(table, schema).repartition("part").mapInArrow(merged, schema)
+    last = tables.repartition(1).mapInArrow(merged, schema).collect()
+    if not last:
+        return Moments(tuple(columns), 0, np.zeros(p), np.zeros((p, p)))
+    n = max(last[0]["n"], default=0)
+    return Moments(tuple(columns), n, np.array(last[0]["means"]), np.array(last[0]["products"]).reshape(p, p) * _scale(last[0]["n"], n, complete))
+
+
+def _scale(counts: list[int], n: int, complete: bool) -> np.ndarray | float:
+    """Brings each column's own sum of squares to the common count, so that deviations divide by the column's own."""
+    if complete:
+        return 1.0
+    return np.array([n / c if c else 0.0 for c in counts])[:, None]
+
+
+def _table(x: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = known.sum(0)
+    means = np.where(known, x, 0).sum(0) / np.maximum(n, 1)
+    apart = np.where(known, x - means, 0)
+    return n, means, apart.T @ apart
+
+
+def _added(a, b):
+    """Moments of two sets of rows together; counts are by column."""
+    if a is None:
+        return b
+    n = a[0] + b[0]
+    apart = np.where(b[0] > 0, b[1], a[1]) - np.where(a[0] > 0, a[1], b[1])
+    weight = np.sqrt(a[0] * b[0] / np.maximum(n, 1))
+    means = np.where(a[0] > 0, a[1], b[1]) + apart * (np.where(a[0] > 0, b[0], 0) / np.maximum(n, 1))
+    return n, means, a[2] + b[2] + np.outer(apart * weight, apart * weight)
+
+
+def _packed(part: int, n: np.ndarray, means: np.ndarray, products: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([part], pa.int32()), pa.array([n.tolist()], pa.list_(pa.int64())),
+         pa.array([means.tolist()], pa.list_(pa.float64())), pa.array([products.ravel().tolist()], pa.list_(pa.float64()))],
+        names=["part", "n", "means", "products"],
+    )
+
+
 @dataclass(frozen=True)
 class Scaler:
     means: dict[str, float]
@@ -198,14 +294,10 @@ class Scaler:
 
 
 def fit_scaler(train: DataFrame, columns: list[str]) -> Scaler:
-    """Mean and population standard deviation; a constant column is only centred."""
-    row = train.agg(
-        *[F.avg(c).alias(f"m_{c}") for c in columns],
-        *[F.stddev_pop(c).alias(f"s_{c}") for c in columns],
-    ).first()
+    """Mean and population standard deviation of each column's values; a constant column is only centred."""
+    found = moments(train, columns, complete=False)
     return Scaler(
-        {c: float(row[f"m_{c}"] or 0.0) for c in columns},
-        {c: float(row[f"s_{c}"] or 1.0) for c in columns},
+        {c: float(m) for c, m in zip(columns, found.means)}, {c: float(s) or 1.0 for c, s in zip(columns, found.deviations)}
     )
 
 
@@ -214,42 +306,32 @@ def fit_scaler(train: DataFrame, columns: list[str]) -> Scaler:
 
 def corr_pairs(df: DataFrame, columns: list[str], limit: float = 0.8) -> DataFrame:
     """Column pairs whose correlation lies beyond the limit (both directions), complete rows only."""
-    complete = df.select(*columns).dropna()
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-    values = complete.agg(*[F.corr(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
-    rows = [
-        F.struct(F.lit(x).alias("variable_1"), F.lit(y).alias("variable_2"),
-                 F.col(f"_{i}").alias("correlation"))
-        for i, (a, b) in enumerate(pairs)
-        for x, y in ((a, b), (b, a))
-    ]
-    size = F.abs("correlation")
-    return (
-        values.select(F.explode(F.array(*rows)).alias("_r"))
-        .select("_r.*")
-        .filter((size > limit) & (size < 1.0))
-    )
+    matrix = moments(df, columns).correlations()
+    pairs = [
+        (a, b, float(matrix[i, j]))
+        for i, a in enumerate(columns)
+        for j, b in enumerate(columns)
+        if i != j and limit < abs(matrix[i, j]) < 1.0
+    ]
+    return df.sparkSession.createDataFrame(pairs, "variable_1 string, variable_2 string, correlation double")
 
 
 def vif(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Variance inflation factor per column: the diagonal of the inverse correlation matrix.
+    """Variance inflation factor per column: the diagonal of the inverse correlation matrix of complete rows.
 
-    The matrix is summed up across partitions; only its inverse (columns x columns) is taken on the
-    driver. A column without spread has no factor, and perfectly dependent ones get infinity.
+    A column without spread has no factor, and perfectly dependent ones get infinity.
     """
-    complete = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
-    spread = complete.agg(*[F.stddev_pop(c).alias(c) for c in columns]).first()
-    used = [c for c in columns if spread[c]]
+    found = moments(df, columns)
+    used = [i for i, s in enumerate(found.deviations) if s > 0]
     factors: dict[str, float | None] = {c: None for c in columns}
     if used:
-        vectors = VectorAssembler(inputCols=used, outputCol="features").transform(complete)
-        matrix = Correlation.corr(vectors.select("features"), "features").first()[0].toArray()
+        matrix = found.correlations()[np.ix_(used, used)]
         if np.linalg.matrix_rank(matrix) < len(used):
             left = [1.0 - _explained(matrix, i) for i in range(len(used))]
             diagonal = [1.0 / x if x > 1e-9 else np.inf for x in left]
         else:
             diagonal = list(np.diag(np.linalg.inv(matrix)))
-        factors.update({c: float(v) for c, v in zip(used, diagonal)})
+        factors.update({columns[i]: float(v) for i, v in zip(used, diagonal)})
     return df.sparkSession.createDataFrame(list(factors.items()), "feature string, vif double")
 
 

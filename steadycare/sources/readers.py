@@ -68,16 +68,22 @@ def period_tag(patient: Column, start: Column, end: Column) -> Column:
 def rows_by_request(df: DataFrame, requests: DataFrame, table: str) -> DataFrame:
     """Rows of a clinical table once for each requested period of their patient and site that they fall into.
 
-    `requests` has `patientpkhash`, `sitecode` and dates `start` and `end`. The patient code of a row becomes
+    `requests` has `patientpkhash`, `sitecode` and dates `start` and `end`; a request without a site takes the patient's rows at
+    all sites. The patient code of a row becomes
     `period_tag`, so what follows keeps two periods of a patient apart. Demographics have no date and go to every period.
     """
     df = lower_names(df)
     site = F.col("sitecode" if "sitecode" in df.columns else "mflcode")
-    wanted = requests.select(
+    asked = requests.select(
         strip(F.col("patientpkhash")).alias("_patient"), strip(F.col("sitecode").cast("string")).alias("_site"),
         F.col("start").alias("_start"), F.col("end").alias("_end"),
     ).distinct()
-    match = (strip(F.col("patientpkhash")) == F.col("_patient")) & (strip(site.cast("string")) == F.col("_site"))
+    # a request for all sites covers those of the same patient and period at one site
+    period = ["_patient", "_start", "_end"]
+    everywhere = asked.where("_site IS NULL").select(*period, F.lit(True).alias("_all"))
+    wanted = asked.join(everywhere, period, "left").where("_all IS NULL OR _site IS NULL").drop("_all")
+    here = F.col("_site").isNull() | (strip(site.cast("string")) == F.col("_site"))
+    match = (strip(F.col("patientpkhash")) == F.col("_patient")) & here
     if table in PERIOD_COLUMNS:
         name, ends = PERIOD_COLUMNS[table]
         at = parse_date(F.col(name))

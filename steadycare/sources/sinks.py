@@ -1,14 +1,18 @@
 """Saved outputs: the site table, scored rows, and versioned model artefacts."""
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.ml.util import MLWriter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..operators.boosting import BoostedWriter
 from ..operators.facility import SITE_COLUMNS
 from ..operators.models import Encoder
 from ..operators.prepare import Imputer
+from .publish import LATEST, publish, published
 
 SITE_SCHEMA = T.StructType(
     [
@@ -27,33 +31,29 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True)
 
 
-def write_site_table(sites: DataFrame, folder: str, on: date | None = None) -> None:
-    """The site table twice: a dated copy and `latest`."""
+def write_site_table(sites: DataFrame, folder: str, on: date | None = None) -> str:
+    """The site table as a dated version, which becomes the latest when it is whole. Returns the version."""
     stamp = (on or date.today()).strftime("%Y%m%d")
-    dated = f"{folder}/dt={stamp}"
-    write_csv(sites, dated)
-    write_csv(sites.sparkSession.read.schema(sites.schema).csv(dated, header=True), f"{folder}/latest")
+    return publish(sites.sparkSession, folder, f"dt={stamp}", {"sites": lambda path: write_csv(sites, path)})
 
 
-def read_site_table(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(SITE_SCHEMA).csv(f"{folder}/latest", header=True)
+def read_site_table(spark: SparkSession, folder: str, version: str = LATEST) -> DataFrame:
+    return spark.read.schema(SITE_SCHEMA).csv(f"{published(spark, folder, version)}/sites", header=True)
 
 
 def write_model(
-    folder: str, writer: MLWriter, encoder: Encoder, thresholds: DataFrame,
-    at: datetime | None = None,
+    folder: str, writer: MLWriter | BoostedWriter, encoder: Encoder, thresholds: DataFrame,
+    at: datetime | None = None, more: dict[str, Callable[[str], None]] | None = None,
 ) -> str:
-    """Model, encoder and thresholds under a time stamp, then the same under `latest`."""
-    version = (at or datetime.now()).strftime("%Y%m%d_%H%M%S")
+    """Model, encoder, thresholds and further parts as one version under a time stamp. Returns the version."""
     spark = thresholds.sparkSession
-    saved = f"{folder}/{version}"
-    thresholds.write.mode("overwrite").parquet(f"{saved}/thresholds")
-    again = spark.read.parquet(f"{saved}/thresholds")
-    again.write.mode("overwrite").parquet(f"{folder}/latest/thresholds")
-    for place in (saved, f"{folder}/latest"):
-        writer.overwrite().save(f"{place}/model")
-        _encoder_rows(spark, encoder).write.mode("overwrite").parquet(f"{place}/encoder")
-    return version
+    parts = {
+        "thresholds": lambda path: thresholds.write.parquet(path),
+        "model": lambda path: writer.overwrite().save(path),
+        "encoder": lambda path: _encoder_rows(spark, encoder).write.parquet(path),
+        **(more or {}),
+    }
+    return publish(spark, folder, (at or datetime.now()).strftime("%Y%m%d_%H%M%S"), parts)
 
 
 ENCODER_SCHEMA = "kind string, feature string, position int, value string, number double"
@@ -68,8 +68,8 @@ def _encoder_rows(spark: SparkSession, encoder: Encoder) -> DataFrame:
     return spark.createDataFrame(rows, ENCODER_SCHEMA).unionByName(values)
 
 
-def read_encoder(spark: SparkSession, folder: str, version: str = "latest") -> Encoder:
-    saved = spark.read.schema(ENCODER_SCHEMA).parquet(f"{folder}/{version}/encoder")
+def read_encoder(spark: SparkSession, folder: str, version: str = LATEST) -> Encoder:
+    saved = spark.read.schema(ENCODER_SCHEMA).parquet(f"{published(spark, folder, version)}/encoder")
     rows = sorted(saved.where("kind <> 'category'").collect(), key=lambda r: r["position"])
     numeric = [r for r in rows if r["kind"] == "numeric"]
     sizes = {r["feature"]: int(r["number"]) for r in rows if r["kind"] == "categorical"}
@@ -78,5 +78,22 @@ def read_encoder(spark: SparkSession, folder: str, version: str = "latest") -> E
     return Encoder(categories, sizes, Imputer(means, {}), [r["feature"] for r in numeric])
 
 
-def read_thresholds(spark: SparkSession, folder: str, version: str = "latest") -> DataFrame:
-    return spark.read.parquet(f"{folder}/{version}/thresholds")
+def read_thresholds(spark: SparkSession, folder: str, version: str = LATEST) -> DataFrame:
+    return spark.read.parquet(f"{published(spark, folder, version)}/thresholds")
+
+
+@dataclass(frozen=True)
+class Artefacts:
+    """All parts of one published version."""
+
+    version: str
+    model: object
+    encoder: Encoder
+    thresholds: DataFrame
+
+
+def read_artefacts(spark: SparkSession, folder: str, load: Callable[[str], object], version: str = LATEST) -> Artefacts:
+    """Resolve a version once and read all its parts, so they belong together. `load` reads a model from a path."""
+    place = published(spark, folder, version)
+    name = place.rsplit("/", 1)[1]
+    return Artefacts(name, load(f"{place}/model"), read_encoder(spark, folder, name), read_thresholds(spark, folder, name))

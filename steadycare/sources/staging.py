@@ -5,7 +5,9 @@ read either, so a lost executor costs a re-read and never a recomputation. A sta
 Spark broadcasts a small one and sort-merges a large one by its own threshold.
 """
 
+import hashlib
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -55,6 +57,75 @@ def drop_staged(spark: SparkSession) -> None:
     _delete(spark, f"{shared_folder(spark)}/{spark.sparkContext.applicationId}")
 
 
+class Resumable:
+    """Stages tables so that a job that starts again with the same inputs and parameters reuses those that were finished.
+
+    Tables stand under `<folder>/<fingerprint>` by name, numbered where a name comes again, with a manifest of their schema. A table
+    counts as finished when its manifest is there, which is written after its rows. Other inputs or
+    parameters give another fingerprint, hence other tables. `remove` deletes what belongs to this fingerprint, and nothing else.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, inputs: list[str], parameters: object):
+        """`inputs`: paths of the input tables, whose files' names, sizes and times count; `parameters`: anything with a faithful repr."""
+        self.spark = spark
+        self.folder = f"{folder}/{fingerprint(spark, inputs, parameters)}"
+        self.reused: list[str] = []
+        self.made: list[str] = []
+        self._seen: Counter[str] = Counter()
+
+    def __call__(self, df: DataFrame, name: str = "table") -> DataFrame:
+        self._seen[name] += 1
+        name = f"{name}-{self._seen[name]}"
+        path, manifest = f"{self.folder}/{name}", f"{self.folder}/{name}.json"
+        schema = df.schema.simpleString()
+        if read_text(self.spark, manifest) == schema:
+            self.reused.append(name)
+        else:
+            df.write.mode("overwrite").parquet(path)
+            write_text(self.spark, manifest, schema)
+            self.made.append(name)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        _delete(self.spark, self.folder)
+
+
+def fingerprint(spark: SparkSession, inputs: list[str], parameters: object) -> str:
+    """A hash of parameters and of the names, sizes and times of all files below the inputs."""
+    sha = hashlib.sha256(repr(parameters).encode())
+    for name in sorted(inputs):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
+        found = []
+        while files.hasNext():
+            file = files.next()
+            found.append(f"{file.getPath()} {file.getLen()} {file.getModificationTime()}")
+        sha.update("\n".join([name, *sorted(found)]).encode())
+    return sha.hexdigest()[:32]
+
+
+def read_text(spark: SparkSession, name: str) -> str | None:
+    """A small text file; None where there is none."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return None
+    stream = fs.open(path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, name: str, text: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def finished_folders(spark: SparkSession, pattern: str) -> list[str]:
     """Folders that match a pattern and were written whole."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{pattern}/_SUCCESS")

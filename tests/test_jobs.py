@@ -1,6 +1,7 @@
 """Sources, sinks, staging, whole jobs, streams, plans, and registered queries on the smallest tables."""
 
 import os
+import re
 
 import duckdb
 import pytest
@@ -15,7 +16,9 @@ from steadycare.operators.dedup import one_per_day
 from steadycare.plans.care import Care
 from steadycare.plans.retrain import RefreshSettings, retrain, score_requests
 from steadycare.sources import readers, schemas, sinks
-from steadycare.sources.staging import shared_folder, stage, staging_run
+from steadycare.sources.layout import PatientTables
+from steadycare.sources.publish import publish, published, remove_older, versions
+from steadycare.sources.staging import Resumable, shared_folder, stage, staging_run
 from steadycare.streaming.requests import REQUEST_SCHEMA, answer_stream
 
 DATA = "/root/testdata/sf0.001"
@@ -44,6 +47,39 @@ def test_requested_rows(spark):
     assert readers.one_patient(df, "q", "1").count() == 1
 
 
+def test_requests_read_only_their_buckets(spark, tmp_path):
+    """Scans by patient are pruned to the requested buckets; a hot patient is spread over files and read whole."""
+    rows = [(f" p{i % 40} ", " 1", i) for i in range(200)] + [("p7", "2", i) for i in range(300)] + [(None, "1", 0)]
+    raw = spark.createDataFrame(rows, "PatientPKHash string, SiteCode string, n int").repartition(4)
+    tables = PatientTables(spark, str(tmp_path), buckets=8, names=("lab",)).write_all({"lab": raw})
+    assert tables.whole("lab").count() == len(rows)
+    for patients in (["p7"], ["p1", "p2"], ["nobody"], []):
+        asked = spark.createDataFrame([(p, "1") for p in patients], "patientpkhash string, sitecode string")
+        few = tables.of_patients("lab", asked)
+        got = readers.requested_rows(few, asked, by_site=False)
+        assert got.count() == sum((p or "").strip() in patients for p, _, _ in rows)
+        read = {r[0].split("patient_bucket=")[1].split("/")[0] for r in few.select(F.input_file_name()).distinct().collect()}
+        assert len(read) <= len(patients)
+        assert re.search(r"PartitionFilters: \[[^\]]*patient_bucket", plan_text(few)) or not read
+    with pytest.raises(FileNotFoundError, match="visits"):
+        tables.of_patients("visits", asked)
+
+
+def test_requests_without_a_site_cover_all_sites(spark):
+    day = "date'2020-01-01'"
+    df = spark.createDataFrame([("p", "1"), ("p", "2"), ("q", "1")], "PatientPKHash string, SiteCode string")
+    asked = spark.createDataFrame([("p", None), ("p", "1"), ("q", "2")], "patientpkhash string, sitecode string")
+    asked = asked.selectExpr("*", f"{day} as start", f"{day} as end")
+    assert sorted(r.sitecode for r in readers.rows_by_request(df, asked, "dem").collect()) == ["1", "2"]
+    scored = spark.createDataFrame(
+        [("p|2020-01-01|2020-01-011", "1", 0.5), ("p|2020-01-01|2020-01-012", "2", 0.7)], "key string, sitecode string, score double"
+    ).selectExpr("*", "'low' as pred_cat", "null as risk_factors", f"{day} as evaluation_date")
+    answers = scoring.answer_requests(asked, scored).collect()
+    got = sorted((r.patientpkhash, r.sitecode, r.key, r.score, r.pred_cat) for r in answers)
+    assert got[:3] == [("p", "1", "p1", 0.5, "low"), ("p", "1", "p1", 0.5, "low"), ("p", "2", "p2", 0.7, "low")]
+    assert got[3][:3] == ("q", "2", "q2") and got[3][4] == "unavailable"
+
+
 def test_staging_uses_the_shared_folder(spark, tmp_path):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     df = spark.range(5).withColumn("x", F.col("id") * 2)
@@ -56,6 +92,69 @@ def test_staging_uses_the_shared_folder(spark, tmp_path):
     assert not os.path.exists(f"{shared_folder(spark)}/{run}")
 
 
+def test_a_version_appears_whole_or_not_at_all(spark, tmp_path):
+    folder, write = str(tmp_path), lambda n: lambda path: spark.range(n).write.parquet(path)
+    size = lambda place: [spark.read.parquet(f"{place}/{part}").count() for part in ("model", "encoder")]
+    with pytest.raises(FileNotFoundError, match="no published version"):
+        published(spark, folder)
+    first = publish(spark, folder, "v", {"model": write(1), "encoder": write(1)})
+    before = published(spark, folder)
+
+    def stops(path):
+        assert size(published(spark, folder)) == [1, 1]  # a reader during a write
+        raise RuntimeError("stopped")
+
+    with pytest.raises(RuntimeError):
+        publish(spark, folder, "w", {"model": write(2), "encoder": stops})
+    assert published(spark, folder) == before and size(before) == [1, 1]
+    second = publish(spark, folder, "v", {"model": write(3), "encoder": write(3)})
+    assert (first, second) == ("v", "v-2") and size(published(spark, folder)) == [3, 3] and size(before) == [1, 1]
+    third = publish(spark, folder, "w", {"model": write(4), "encoder": write(4)})
+    assert third == "w-2" and versions(spark, folder) == ["v", "v-2", "w-2"]
+    assert size(published(spark, folder, "v")) == [1, 1]
+    with pytest.raises(FileNotFoundError, match="w"):
+        published(spark, folder, "w")
+    assert remove_older(spark, folder, 1) == ["v", "v-2"] and versions(spark, folder) == ["w-2"]
+    assert not os.path.exists(before) and size(published(spark, folder)) == [4, 4]
+
+
+def test_a_refresh_goes_on_from_what_it_finished(spark, tmp_path):
+    """It stops after `targets`; started again it reads no visit and no dispense a second time, and other parameters read all."""
+    clinic, inputs = ClinicTables(spark, DATA), [f"{DATA}/{t}.parquet" for t in ("orders", "lineitem", "customer")]
+    raw = {name: clinic[name] for name in clinic}
+
+    def never(df):
+        """The same table, which fails when a row of it is read."""
+        return df.select(*[F.when(F.raise_error(F.lit("read again")).isNull(), F.col(c)).alias(c) for c in df.columns])
+
+    stopped = Resumable(spark, str(tmp_path), inputs, (START, END))
+
+    def stops_at_lab(df, name):
+        if name not in ("visits", "pharmacy", "sites", "targets"):
+            raise RuntimeError("stopped")
+        return stopped(df, name)
+
+    with pytest.raises(RuntimeError, match="stopped"):
+        Care(raw, START, END, stops_at_lab).features
+    assert set(stopped.made) == {"visits-1", "pharmacy-1", "sites-1", "targets-1"}
+
+    again = Resumable(spark, str(tmp_path), inputs, (START, END))
+    care = Care({**raw, "visits": never(raw["visits"]), "pharmacy": never(raw["pharmacy"]), "dem": never(raw["dem"])}, START, END, again)
+    rows = again(care.features, "features")
+    assert set(stopped.made) <= set(again.reused) and "features-1" in again.made
+    assert rows.exceptAll(Care(raw, START, END).features).count() == 0 < rows.count()
+
+    last = Resumable(spark, str(tmp_path), inputs, (START, END))
+    over = Care({name: never(df) for name, df in raw.items()}, START, END, last)
+    assert last(over.features, "features").count() == rows.count() and last.made == []
+    other = Resumable(spark, str(tmp_path), inputs, (START, REFRESH))
+    with pytest.raises(Exception, match="read again"):
+        Care({**raw, "visits": never(raw["visits"])}, START, REFRESH, other).targets
+    other(spark.range(1), "own")
+    last.remove()
+    assert not os.path.exists(last.folder) and os.path.exists(other.folder)
+
+
 def test_names_match_without_case_dots_and_underscores(spark):
     df = spark.createDataFrame([("1", "Level 2", "c", "x", "y")], "Code string, `KEPH.Level` string, County string, `Facility.Type.Category` string, Owner_Type string")
     row = schemas.conform(df, "mfl").first()
@@ -82,10 +181,9 @@ def test_retrain_then_score(spark, tmp_path):
 
     from pyspark.ml.classification import RandomForestClassificationModel
 
-    model = RandomForestClassificationModel.load(f"{tmp_path}/models/latest/model")
-    encoder = sinks.read_encoder(spark, f"{tmp_path}/models")
-    limits = sinks.read_thresholds(spark, f"{tmp_path}/models")
-    scorer = scoring.model_scorer(model, encoder)
+    saved = sinks.read_artefacts(spark, f"{tmp_path}/models", RandomForestClassificationModel.load)
+    limits = saved.thresholds
+    scorer = scoring.model_scorer(saved.model, saved.encoder)
 
     def answer(requests):
         return score_requests(requests, raw, (START, END), sites, scorer, limits, SETTINGS)
@@ -169,5 +267,5 @@ def test_queries_against_sql(spark, name):
 def test_every_query_is_a_report_with_unique_columns():
     assert set(oracle_sql()) <= set(queries())
     own = {n for n in queries() if not n.startswith(("op", "pipeline"))}
-    assert len(own) - len(own & set(oracle_sql())) == 7
+    assert len(own) - len(own & set(oracle_sql())) == 8
     assert evaluate.ALL_SITES == "*"

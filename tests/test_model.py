@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from checks import catalog_model
 from steadycare.operators import evaluate, models, prepare, ranks, scoring, splits
 from steadycare.plans import search
-from steadycare.sources.sinks import read_encoder, read_thresholds, write_model
+from steadycare.sources.sinks import read_artefacts, read_encoder, read_thresholds, write_model
 
 # --- quantiles and curves ---
 
@@ -168,6 +168,29 @@ def test_screening(spark):
     assert found["x"] > 1e6 and found["k"] is None and found["y"] < 2
 
 
+def test_moments_of_any_rows(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(500, 3)) * [1, 1e-3, 5] + [1e9, 0, -4]
+    rows = [tuple(None if rng.random() < 0.1 else float(v) for v in r) for r in x]
+    columns = ["a", "b", "c"]
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(7)
+    whole = np.array([r for r in rows if None not in r])
+    found = prepare.moments(df, columns)
+    assert found.n == len(whole) and found.means == pytest.approx(whole.mean(0))
+    assert found.correlations() == pytest.approx(np.corrcoef(whole.T), rel=1e-6)
+    assert found.deviations == pytest.approx(whole.std(0), rel=1e-6)
+    own = prepare.moments(df, columns, complete=False)
+    for i, c in enumerate(columns):
+        values = np.array([r[i] for r in rows if r[i] is not None])
+        assert own.means[i] == pytest.approx(values.mean()) and own.deviations[i] == pytest.approx(values.std(), rel=1e-6)
+    none = prepare.moments(df.limit(0), columns)
+    assert none.n == 0 and none.deviations.tolist() == [0, 0, 0]
+    single = prepare.fit_scaler(spark.createDataFrame([(5.0, None)], "a double, b double"), ["a", "b"])
+    assert (single.means, single.deviations) == ({"a": 5.0, "b": 0.0}, {"a": 1.0, "b": 1.0})
+    plan = df.mapInArrow(lambda it: it, "a double, b double, c double")
+    assert prepare.vif(plan, columns).count() == 3
+
+
 def test_sequences(frame):
     df = frame("key string, nad date, a int, iit int", *[("p", f"2022-01-{d:02d}", d, None if d == 2 else d % 2) for d in range(1, 13)])
     out = {r["nad"].day: r for r in prepare.visit_sequences(df, ["a"], "iit").collect()}
@@ -299,7 +322,7 @@ def test_artefacts_round_trip(learnable, tmp_path, spark):
         assert read_thresholds(spark, str(tmp_path), v).count() == 1
     from pyspark.ml.classification import LogisticRegressionModel
 
-    loaded = LogisticRegressionModel.load(f"{tmp_path}/latest/model")
+    loaded = read_artefacts(spark, str(tmp_path), LogisticRegressionModel.load).model
     a = models.predict(model, encoder.apply(learnable)).agg(F.sum("score")).first()[0]
     assert a == pytest.approx(models.predict(loaded, again.apply(learnable)).agg(F.sum("score")).first()[0])
 
