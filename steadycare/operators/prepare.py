@@ -4,7 +4,7 @@ Fitted state that reaches the driver (means, modes, a correlation matrix) is per
 except those that `one_hot` turns into columns.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.recode import NOT_RELEVANT
+from ..sources.staging import stage
 
 UNKNOWN = "Unknown"
 MAX_CATEGORIES = 1000
@@ -116,19 +117,28 @@ def fit_imputer(train: DataFrame, numeric: list[str], categorical: list[str]) ->
 # --- encoding -------------------------------------------------------------------------------
 
 
-def category_table(df: DataFrame, columns: list[str]) -> DataFrame:
+def category_table(df: DataFrame, columns: list[str], settle: Callable = stage) -> DataFrame:
     """feature, value and place of every distinct value: places count from 0 in order of the values, null last.
 
-    A table, however many values a column has: distinct values are combined before they are shuffled and numbered.
+    A table, however many values a column has. Distinct values are combined before they are shuffled, ranged over partitions by
+    (feature, value), and numbered there; a count for each feature and partition gives the partitions their first places, so no
+    task holds all values of a column.
     """
     if not columns:
         return df.sparkSession.createDataFrame([], "feature string, value string, place int")
     pairs = F.explode(
         F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in columns])
     )
-    order = Window.partitionBy("feature").orderBy(F.col("value").asc_nulls_last())
+    order = ("feature", F.col("value").asc_nulls_last())
     distinct = df.select(pairs.alias("_p")).select("_p.*").distinct()
-    return distinct.withColumn("place", F.row_number().over(order) - 1)
+    ranged = distinct.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = settle(ranged.withColumn("_id", F.monotonically_increasing_id()), "ranged_categories")  # grows by 1 in a partition
+    part = F.shiftright("_id", 33).alias("_part")
+    sizes = ranged.groupBy("feature", part).agg(F.count("*").alias("_n"), F.min("_id").alias("_least"))
+    before = Window.partitionBy("feature").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = sizes.select("feature", "_part", "_least", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    placed = ranged.select("*", part).join(firsts, ["feature", "_part"])
+    return placed.select("feature", "value", (F.col("_first") + F.col("_id") - F.col("_least")).cast("int").alias("place"))
 
 
 def fit_categories(

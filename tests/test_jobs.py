@@ -19,6 +19,8 @@ from steadycare.sources import readers, schemas, sinks
 from steadycare.sources.layout import PatientTables
 from steadycare.sources.publish import publish, published, remove_older, versions
 from steadycare.sources.staging import Resumable, shared_folder, stage, staging_run
+from steadycare.streaming.latest import REQUEST_SCHEMA as REQUESTS
+from steadycare.streaming.latest import answer_from_state
 from steadycare.streaming.requests import REQUEST_SCHEMA, answer_stream
 
 DATA = "/root/testdata/sf0.001"
@@ -211,6 +213,38 @@ def test_retrain_then_score(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
 
 
+def test_requests_are_answered_from_state(spark, tmp_path):
+    """Contacts arrive out of order and twice, requests between them: answers are those of the batch plan for what has arrived."""
+    care = Care(ClinicTables(spark, DATA), START, END)
+    rows = stage(care.history, "history")
+    limits = stage(spark.createDataFrame([("*", 0.2, 0.05)], "sitecode string, high double, medium double"), "limits")
+    everyone = care.raw["dem"].select(F.col("PatientPKHash").alias("patientpkhash"), F.col("MFLCode").alias("sitecode"))
+    everyone = stage(everyone.unionByName(spark.createDataFrame([("nobody", "1"), (None, "1")], everyone.schema)), "requests")
+    scorer = lambda df: df.withColumn("score", F.coalesce("lateness_last5", F.lit(0.0)) / 100)
+
+    def run():
+        features = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "features"))
+        requests = spark.readStream.schema(REQUESTS).json(str(tmp_path / "requests"))
+        answer_from_state(
+            features, requests, scorer, limits, EMR_ALLOW, EMR_POSITIVE, str(tmp_path / "out"), str(tmp_path / "state")
+        ).awaitTermination()
+
+    late, early = rows.where("nad >= date'1999-06-01'"), rows.where("nad < date'1999-06-01'")
+    arrived = rows.limit(0)
+    fields = ["patientpkhash", "sitecode", "key", "score", "pred_cat", "risk_factors"]
+    for step, part in enumerate([early.where("day(nad) % 2 = 0"), late, early.unionByName(late.limit(50))]):
+        part.write.mode("append").parquet(str(tmp_path / "features"))
+        everyone.write.mode("append").json(str(tmp_path / "requests"))
+        before = set(os.listdir(tmp_path / "out")) if step else set()
+        run()
+        new = [str(tmp_path / "out" / name) for name in set(os.listdir(tmp_path / "out")) - before if name.startswith("batch=")]
+        got = spark.read.parquet(*new).select(fields)
+        arrived = arrived.unionByName(part)
+        want = scoring.answer_requests(everyone, scoring.batch_score(arrived.dropDuplicates(), scorer, limits, EMR_ALLOW, EMR_POSITIVE))
+        assert got.count() == everyone.count()
+        assert got.exceptAll(want.select(fields)).count() == 0 and got.where("score IS NOT NULL").count() > 0
+
+
 def plan_text(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -12,6 +12,7 @@ from checks import catalog_model
 from steadycare.operators import evaluate, models, prepare, ranks, scoring, splits
 from steadycare.plans import search
 from steadycare.sources.sinks import read_artefacts, read_encoder, read_thresholds, write_model
+from steadycare.sources.staging import stage
 
 # --- quantiles and curves ---
 
@@ -303,6 +304,21 @@ def test_encoder_has_no_limit_on_categories(spark):
     assert [list(got[k].indices) for k in ("0", "1", "7", "4999")] == [[], [0], [], [4997]]
 
 
+def test_categories_are_numbered_over_many_partitions(spark):
+    n = 100_000
+    df = spark.range(n).selectExpr("concat('v', id * 7919 % 100000) as text", "if(id % 3 = 0, null, cast(id % 4 as string)) as few")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else small partitions are joined
+    try:
+        table = prepare.category_table(df, ["text", "few"], lambda t, name: stage(t, name)).collect()
+        parts = prepare.category_table(df, ["text"], lambda t, name: t.cache()).select(F.spark_partition_id()).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert [r.value for r in sorted((r for r in table if r.feature == "text"), key=lambda r: r.place)] == sorted(f"v{i}" for i in range(n))
+    assert sorted((r.place, r.value) for r in table if r.feature == "few" and r.value) == [(i, str(i)) for i in range(4)]
+    assert [r.place for r in table if r.feature == "few" and r.value is None] == [4] and parts > 1
+    assert sorted(r.place for r in table if r.feature == "text") == list(range(n))
+
+
 def test_encoder_takes_any_value(frame):
     df = frame("key string, c string, iit int", ("1", "null", 0), ("2", None, 1), ("3", "Level `2`", 0), ("4", "level `2`", 1))
     encoder = models.fit_encoder(df, df)
