@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,16 +95,60 @@ def test_compression_rules_against_brute_force(spark):
     assert compression.compression_rules(documents.limit(0)).count() == 0
 
 
-def test_bands_reject_repetition_and_noise():
+def brute_kept(texts, bands):
+    """The verdict of every text, from plain lists of ratios."""
     import zstandard
 
-    compressor = zstandard.ZstdCompressor(level=3)
-    assert compression.ratios(memoryview(b""), compression.Bands(), compressor) == (0.0, 0.0)
-    whole, bad = compression.ratios(memoryview(b"buy now " * 4000), compression.Bands(), compressor)
-    assert whole > 6 and bad == 1.0
-    noise = random.Random(1).randbytes(20_000)
-    whole, bad = compression.ratios(memoryview(noise), compression.Bands(), compressor)
-    assert whole < 1.05 and bad == 1.0
+    compressor = zstandard.ZstdCompressor(level=bands.level)
+    step = lambda raw: round(1000 * np.log(len(raw) / len(compressor.compress(raw)))) if raw else 0
+    class_ = lambda raw: int(np.floor(2 * np.log2(len(raw)))) if raw else -1
+
+    def chunks(raw):
+        parts = [raw[i : i + bands.chunk_bytes] for i in range(0, len(raw), bands.chunk_bytes)]
+        if len(parts) > 1 and len(parts[-1]) < bands.chunk_bytes / 2:
+            parts[-2:] = [parts[-2] + parts[-1]]
+        return parts
+
+    def limits(found):
+        out = {}
+        for c in {c for c, _, _ in found}:
+            steps = sorted(s for k, s, _ in found if k == c)
+            low, high = (steps[int(np.ceil(q * len(steps))) - 1] for q in (0.25, 0.75))
+            apart = bands.reach * max(high - low, 1000 * bands.spread)
+            out[c] = (int(low - apart), int(high + apart)) if len(steps) >= bands.least else compression.fixed_limits(c, bands)
+        return out
+
+    judged = [(t or "").encode() for t in texts if not brute_counts(t)[-1]]
+    whole = limits({(class_(r), step(r), r) for r in judged})
+    part = limits({(class_(c), step(c), r) for r in judged for c in chunks(r)})
+    kept = []
+    for text in texts:
+        raw = (text or "").encode()
+        if brute_counts(text)[-1]:
+            kept.append(False)
+            continue
+        out = [not part[class_(c)][0] <= step(c) <= part[class_(c)][1] for c in chunks(raw)]
+        kept.append(whole[class_(raw)][0] <= step(raw) <= whole[class_(raw)][1] and sum(out) / len(out) <= bands.bad_chunks)
+    return kept
+
+
+def test_verdicts_against_plain_bands(spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choices("etaoinshrdlucmf", k=rng.randrange(2, 9))) for _ in range(900)]
+    prose = lambda n: " ".join(rng.choices(words, k=n))
+    texts = [prose(rng.randrange(60, 140)) for _ in range(150)] + [prose(rng.randrange(700, 2200)) for _ in range(60)] + [None, "", prose(9)]
+    odd = [" ".join("ab" * (i + 5) for i in range(60)),  # repetitive, though no word comes again
+           " ".join("".join(rng.choices("0123456789ABCDEFabcdefXYZ+/", k=9)) for _ in range(110)),
+           prose(700) + " " + " ".join("".join(rng.choices("QWERTYUIOP0123456789+/=abcdefgh", k=12)) for _ in range(900))]
+    copies = [texts[0]] * 200  # a group of copies counts once in its class
+    texts += odd + copies
+    documents = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    for bands in (compression.Bands(least=20), compression.Bands(least=20, chunk_bytes=500, bad_chunks=0.1), compression.Bands()):
+        got = {r.doc_id: r.kept for r in compression.compression_rules(documents, bands).collect()}
+        assert [got[i] for i in range(len(texts))] == brute_kept(texts, bands)
+    got = {r.doc_id: r.kept for r in compression.compression_rules(documents, compression.Bands(least=20)).collect()}
+    n = len(texts) - len(odd) - len(copies)
+    assert not got[n] and not got[n + 1] and sum(got[i] for i in range(210)) > 200
 
 
 @pytest.mark.parametrize("classify, label, least", [
