@@ -59,6 +59,21 @@ def model_rows(c):
     return sp.model_rows(c.features, REFRESH, EMR_ALLOW, EMR_POSITIVE, keep=("key", "visitdate"))
 
 
+@query(
+    "key visitdate nad sitecode iit:i emr:i cascadestatus age sex whostage bmi lastvd lateness_last5:r most_recent_vl ahd "
+    "optimizedhivregimen late daystonextappointment timeonart:r",
+    """select key, visitdate, nad, sitecode, iit, case emr when 'systema' then 1 else 0 end as emr, cascadestatus, cast(age as double) as age,
+      cast(sex as int) as sex, cast(whostage as double) as whostage, cast(bmi as varchar) as bmi, cast(lastvd as int) as lastvd, lateness_last5,
+      most_recent_vl, cast(ahd as int) as ahd, cast(optimizedhivregimen as int) as optimizedhivregimen, cast(late as int) as late,
+      cast(daystonextappointment as int) as daystonextappointment, timeonart from o_history
+    where emr in ('systema', 'systemb')""",
+    staged=True,
+)
+def feature_types(c):
+    """The feature table with the model's column types, rows of all dates."""
+    return md.cast_expected(sp.source_systems(c.history, EMR_ALLOW, EMR_POSITIVE))
+
+
 @query(
     "key visitdate nad iit:i",
     "select * from o_targets where not (nad between date '2000-04-01' and date '2000-06-30')",

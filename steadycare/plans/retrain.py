@@ -6,6 +6,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.parsing import underscore_names
 from ..operators import evaluate, models, scoring, splits
 from ..sources.layout import PatientTables
 from ..sources.readers import CLINICAL_TABLES, rows_by_request
@@ -37,7 +38,7 @@ class RefreshSettings:
 def refresh_model(features: DataFrame, settings: RefreshSettings, settle=stage) -> Refreshed:
     """Train on the first five months before the refresh date, set thresholds on the last one."""
     rows = splits.model_rows(
-        features, settings.refresh_date, settings.emr_allow, settings.emr_positive
+        underscore_names(features), settings.refresh_date, settings.emr_allow, settings.emr_positive
     )
     rows = settle(rows, "model_rows")
     split = splits.refresh_split(rows, settings.refresh_date)

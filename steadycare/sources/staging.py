@@ -33,7 +33,7 @@ def staging_run(spark: SparkSession) -> Iterator[str]:
         yield name
     finally:
         _run.reset(token)
-        _delete(spark, f"{shared_folder(spark)}/{name}")
+        remove_folder(spark, f"{shared_folder(spark)}/{name}")
 
 
 def stage(df: DataFrame, name: str = "table", folder: str | None = None) -> DataFrame:
@@ -54,7 +54,7 @@ def stage(df: DataFrame, name: str = "table", folder: str | None = None) -> Data
 
 def drop_staged(spark: SparkSession) -> None:
     """Delete the tables this application staged without a folder, once nothing reads them any more."""
-    _delete(spark, f"{shared_folder(spark)}/{spark.sparkContext.applicationId}")
+    remove_folder(spark, f"{shared_folder(spark)}/{spark.sparkContext.applicationId}")
 
 
 class Resumable:
@@ -87,7 +87,7 @@ class Resumable:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def remove(self) -> None:
-        _delete(self.spark, self.folder)
+        remove_folder(self.spark, self.folder)
 
 
 def fingerprint(spark: SparkSession, inputs: list[str], parameters: object) -> str:
@@ -133,6 +133,7 @@ def finished_folders(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(str(f.getPath().getParent()) for f in found or [])
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder and all below it."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
