@@ -1,5 +1,6 @@
 """Weighted MinHash, its classes, and the pipeline."""
 
+import os
 import random
 import re
 
@@ -7,6 +8,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
@@ -174,10 +176,10 @@ def test_pipeline_stages_take_effect(spark):
     assert {r.doc_id for r in result.select("doc_id").collect()} == {r.doc_id for r in before.select("doc_id").collect()}
 
 
-@pytest.mark.parametrize("name", ["op1_wu_manber", "op7_url_digests", "op8_prefix_tree"])
+@pytest.mark.parametrize("name", ["op1_wu_manber", "op7_url_digests", "op8_prefix_tree", "op11_residue_negatives", "op12_turn_repair"])
 def test_queries_against_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "conversations"):
+    for t in ("documents", "pages", "benchmark", "conversations", "embeddings"):
         con.sql(f"create view {t} as select * from '{DATA}/{t}.parquet'")
     got, want = canonical(queries()[name](spark, DATA).toPandas()), canonical(con.sql(oracle_sql()[name]).df())
     assert got.equals(want) and len(got) > 0
@@ -185,4 +187,28 @@ def test_queries_against_sql(spark, name):
 
 def test_every_operator_has_one_query():
     names = [n for n in queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in queries()
+
+
+def test_pipeline_over_odd_rows(spark, tmp_path):
+    """Null, empty, long and repeated rows and clashing columns run through all stages; what stages leave behind is removed."""
+    source = "/root/testdata/sf0.001"
+    documents = spark.read.parquet(f"{source}/documents.parquet").withColumns({"class_id": F.lit("x"), "score": F.lit("y"), "piece": F.lit(1)})
+    schema = documents.schema
+    long = " ".join(f"word{i % 977} goes" for i in range(40_000))
+    odd = [(i, t, "en", "s", 0, "x", "y", 1) for i, t in [(None, None), (None, "a short text"), (900_001, ""), (900_002, long), (900_002, long)]]
+    both = documents.unionByName(spark.createDataFrame(odd, schema)).unionByName(documents.limit(20))
+    for name, table in (("documents", both), ("empty/documents", documents.limit(0))):
+        folder = tmp_path / name
+        table.write.parquet(f"{folder}.parquet")
+    for name in ("labels", "benchmark"):
+        for place in (tmp_path, tmp_path / "empty"):
+            spark.read.parquet(f"{source}/{name}.parquet").write.parquet(f"{place}/{name}.parquet")
+    before = set(os.listdir(spark.conf.get("spark.checkpoint.dir")))
+    packed = corpus_pipeline.run(spark, str(tmp_path))
+    assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} <= {r.doc_id for r in both.select("doc_id").collect()}
+    assert packed.count() > 0 and corpus_pipeline.run(spark, str(tmp_path / "empty")).count() == 0
+    here = f"{spark.conf.get('spark.checkpoint.dir')}/{spark.sparkContext.applicationId}"
+    for run in (d for d in os.listdir(here) if d.startswith("pipeline-")):
+        assert os.listdir(f"{here}/{run}") == ["packing"]
+    assert not {d for d in set(os.listdir(spark.conf.get("spark.checkpoint.dir"))) - before if d.startswith("run-")}
