@@ -9,7 +9,8 @@ Files are written under a draft name and renamed when whole, and only files name
 so lost executors leave at most stray files. Nothing but one row a shard is counted across shards.
 
 Defined cases: a null text is an empty one, which has its end id only; null ids come first; equal ids are ordered by text; an
-empty table gives no files; a very long text spans as many sequences as it needs.
+empty table gives no files; a very long text spans as many sequences as it needs; columns other than
+doc_id and text are ignored.
 """
 
 import uuid

@@ -7,7 +7,7 @@ from one range-partitioned numbering: counts of each partition and bucket, one r
 first number, so no bucket passes through one task.
 
 Defined cases: a null text is an empty one, which is a piece of one token; an empty table gives no rows; repeated rows
-are packed one by one; columns other than doc_id and text are ignored.
+are packed one by one, null ids too; columns other than doc_id and text are ignored.
 """
 
 from collections.abc import Iterator

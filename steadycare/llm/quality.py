@@ -4,7 +4,8 @@ The trees are fitted on a bounded sample of labelled rows (`labelled.SAMPLE`), w
 driver, and are walked as flat arrays by numpy in the tasks.
 
 Defined cases: a null text is an empty one; an empty text is scored like any other (its statistics are zeros);
-repeated rows are scored alike; without labels every score is one half.
+repeated rows are scored alike, and all rows of a labelled id are read for fitting; a null id is scored and never read for fitting; a very long text is
+read whole; other columns, also of the same names as results, are ignored; without labels every score is one half.
 """
 
 from collections.abc import Iterator

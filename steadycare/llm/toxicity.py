@@ -6,8 +6,9 @@ only, so the trees do not see a row's own words as lexicon. The isotonic curve i
 scoring trees have not seen. A bounded sample of labelled rows (`labelled.SAMPLE`) is read; of it counts of at
 most `UNITS` lexicon candidates and a few numbers for each row reach the driver.
 
-Defined cases: a null text is an empty one; an empty text is scored like any other; repeated rows are scored alike;
-without labels, or with one class only, scores are constant.
+Defined cases: a null text is an empty one; an empty text is scored like any other; repeated rows are scored alike,
+and all rows of a labelled id are read for fitting; a null id is scored and never read for fitting; a very long text is read whole; other
+columns, also of the same names as results, are ignored; without labels, or with one class only, scores are constant.
 """
 
 from collections.abc import Iterator

@@ -5,7 +5,7 @@ full strings behind it, in files that tasks map into memory. A url is looked up
 rule-length beginning of its path: a vectorised binary search in the array, and equal strings on a hit, so a
 collision cannot decide. The longest rule that fits wins; of equal rules, block. A url without a rule is allowed.
 
-The array is split by the top bits of the digests into files of bounded size, each written by a task of its own.
+The array is split by another hash of the rule into files of bounded size, each written by a task of its own; a batch of urls probes all of them.
 
 Defined cases: a null url, or one without `://`, has an empty host and path, fits no rule and is allowed; repeated rows are judged
 alike; an empty rule table allows everything; long urls are read whole.
