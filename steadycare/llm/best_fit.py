@@ -167,7 +167,7 @@ class WordEncoder(Encoder):
             word = np.fromiter((_WORD(s) is not None for s in part), bool, len(part))
             found = self._words([s for s, w in zip(part, word) if w])
             if found is None:
-                super()._learn(part)
+                self._encode_new(part)
                 continue
             rest = [s for s, w in zip(part, word) if not w]
             others = [np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast(rest, add_special_tokens=False)] if rest else []

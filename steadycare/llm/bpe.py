@@ -16,7 +16,8 @@ import pyarrow.compute as pc
 
 from .flat import Flat, byte_class, flat_slices
 
-KEPT = 1_000_000  # stretches remembered by a Python worker
+KEPT = 600_000  # stretches remembered by a Python worker
+LEARNED = 4096  # stretches that the library encodes at once: its results are a hundred times their texts
 
 _LETTER = byte_class(lambda b: 65 <= b <= 90 or 97 <= b <= 122)
 _MARK = byte_class(lambda b: (33 <= b <= 47 or 58 <= b <= 64 or 91 <= b <= 96 or 123 <= b <= 126) and b != 39)
@@ -66,6 +67,10 @@ class Encoder:
         self._bounds = np.zeros(1, np.int64)
 
     def _learn(self, stretches: list[str]) -> None:
+        for at in range(0, len(stretches), LEARNED):
+            self._encode_new(stretches[at : at + LEARNED])
+
+    def _encode_new(self, stretches: list[str]) -> None:
         found = [e.ids for e in self.library.encode_batch_fast(stretches, add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         bounds = self._bounds[-1] + np.cumsum(lengths)
