@@ -159,3 +159,11 @@ def test_expected_types(frame):
     df = frame("age string, sex string, bmi int, other string", ("12.5", "x", 3, "kept"))
     row = recode.cast_expected(df).first()
     assert (row["age"], row["sex"], row["bmi"], row["other"]) == (12.5, None, "3", "kept")
+
+
+def test_big_driver_tables_are_shuffled_once_by_their_join_key(spark, tmp_path):
+    from checks.tables import NEEDED, ClinicTables
+
+    spark.range(50).selectExpr(*[f"id as {c}" for c in NEEDED["lineitem"]]).write.parquet(str(tmp_path / "lineitem.parquet"))
+    plan = ClinicTables(spark, str(tmp_path))._read("lineitem")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [l_orderkey" in plan
