@@ -364,3 +364,17 @@ def test_scores_categories_and_factors(frame):
     requests = frame("patientpkhash string, sitecode string", ("q", "1"), ("r", "1"), ("nobody", "1"))
     answers = {r["patientpkhash"]: r["pred_cat"] for r in scoring.answer_requests(requests, scored).collect()}
     assert answers == {"q": "medium", "r": "unavailable", "nobody": "unavailable"}
+
+
+def test_folds_are_predicted_side_by_side(learnable, tmp_path, monkeypatch):
+    from threading import Barrier
+
+    together, original = Barrier(2, timeout=60), search.models.TRAINERS["gbt"]
+
+    def waiting(*given, **parameters):
+        together.wait()  # breaks where one fold follows the other
+        return original(*given, **parameters)
+
+    monkeypatch.setitem(search.models.TRAINERS, "gbt", waiting)
+    found = search.predict_tests(learnable, TWO_FOLDS, str(tmp_path), "gbt", {"rounds": 3, "depth": 2})
+    assert {r.fold for r in found.select("fold").distinct().collect()} == {1, 2}
