@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from steadycare.sources.staging import stage
 
-from .bpe import _BREAK, Encoder
+from .bpe import _BREAK, Encoder, _portions
 from .bpe import borders as inner_borders
 from .flat import SLICE_BYTES, Flat, byte_class
 
@@ -136,9 +136,8 @@ def best_fit(histogram: dict[int, int], capacity: int = CAPACITY) -> Layout:
 # --- pieces ---------------------------------------------------------------------------------
 
 
-LEARNED = 4096  # stretches that the library encodes at once: its results are a hundred times their texts
 REMEMBERED = 600_000  # stretches that a Python worker remembers
-ENCODED = 1 << 20  # bytes of texts that are encoded at once
+ENCODED = 1 << 18  # bytes of texts that are encoded at once
 
 
 class WordEncoder(Encoder):
@@ -162,8 +161,7 @@ class WordEncoder(Encoder):
         return (ids, np.diff(ends, prepend=0)) if len(ends) == len(words) and ends[-1] == len(ids) else None
 
     def _learn(self, stretches: list[str]) -> None:
-        for at in range(0, len(stretches), LEARNED):
-            part = stretches[at : at + LEARNED]
+        for part in _portions(stretches):
             word = np.fromiter((_WORD(s) is not None for s in part), bool, len(part))
             found = self._words([s for s, w in zip(part, word) if w])
             if found is None:

@@ -7,6 +7,7 @@ one: around a single space or line end between printable characters, and between
 than the apostrophe. Texts that hold an added token's string go to the library whole.
 """
 
+import os
 from collections.abc import Iterator
 from itertools import chain
 
@@ -18,6 +19,8 @@ from .flat import Flat, byte_class, flat_slices
 
 KEPT = 600_000  # stretches remembered by a Python worker
 LEARNED = 4096  # stretches that the library encodes at once: its results are a hundred times their texts
+LEARNED_CHARACTERS = 1 << 17  # and their characters, or one stretch
+SLICE = 1 << 18  # bytes of texts taken at once: a slice's arrays are many times its size
 
 _LETTER = byte_class(lambda b: 65 <= b <= 90 or 97 <= b <= 122)
 _MARK = byte_class(lambda b: (33 <= b <= 47 or 58 <= b <= 64 or 91 <= b <= 96 or 123 <= b <= 126) and b != 39)
@@ -50,12 +53,26 @@ def borders(flat: Flat) -> np.ndarray:
     return np.flatnonzero(cut[:size])
 
 
+def _portions(stretches: list[str]) -> Iterator[list[str]]:
+    """Consecutive stretches, few and short enough for the library to encode at once."""
+    first = held = 0
+    for i, stretch in enumerate(stretches):
+        if i > first and (i - first == LEARNED or held + len(stretch) > LEARNED_CHARACTERS):
+            yield stretches[first:i]
+            first, held = i, 0
+        held += len(stretch)
+    if first < len(stretches):
+        yield stretches[first:]
+
+
 class Encoder:
     """Encodes Arrow string arrays; one per Python worker, see `encoder`."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        # tasks are the parallelism: threads of the library would keep memory of their own in every worker
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self._forget()
@@ -67,8 +84,8 @@ class Encoder:
         self._bounds = np.zeros(1, np.int64)
 
     def _learn(self, stretches: list[str]) -> None:
-        for at in range(0, len(stretches), LEARNED):
-            self._encode_new(stretches[at : at + LEARNED])
+        for part in _portions(stretches):
+            self._encode_new(part)
 
     def _encode_new(self, stretches: list[str]) -> None:
         found = [e.ids for e in self.library.encode_batch_fast(stretches, add_special_tokens=False)]
@@ -121,7 +138,7 @@ class Encoder:
         edges = np.flatnonzero(whole)
         row = 0
         for special in [*edges.tolist(), len(texts)]:
-            for a, b, flat in flat_slices(texts.slice(row, special - row)):
+            for a, b, flat in flat_slices(texts.slice(row, special - row), SLICE):
                 yield row + a, row + b, *self._slice(flat, want_ids)
             if special < len(texts):
                 ids = self.library.encode(texts[special].as_py(), add_special_tokens=False).ids

@@ -149,3 +149,18 @@ def test_one_hot_root_is_spread(spark):
         assert chat_tree.read_tree_digests(tree).select(F.sum("n_turns")).first()[0] == 1200
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_long_stretches_are_encoded_a_few_at_a_time():
+    import os
+
+    stretches = ["a" * 3, "b" * bpe.LEARNED_CHARACTERS, "c" * 9, *["d"] * (bpe.LEARNED + 5)]
+    parts = list(bpe._portions(stretches))
+    assert [s for part in parts for s in part] == stretches
+    assert all(len(p) <= bpe.LEARNED and (len(p) == 1 or sum(map(len, p)) <= bpe.LEARNED_CHARACTERS) for p in parts)
+    assert list(bpe._portions([])) == []
+    found = bpe.Encoder(bpe.default_tokenizer())
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
+    texts = pa.array([" ".join(f"word{i}" for i in range(n)) for n in (60_000, 3, 0)])
+    got = np.concatenate([ids for _, _, ids, _ in found.encode(texts)]).tolist()
+    assert got == [i for t in texts.to_pylist() for i in found.library.encode(t, add_special_tokens=False).ids]
