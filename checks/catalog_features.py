@@ -45,7 +45,7 @@ def asof_visits(c):
 
 @query(f"{TARGET} {VISIT_SIDE} cascadestatus {LATENESS}", "o_targets_visit", staged=True)
 def targets_visit(c):
-    return hs.visit_history(c.targets, c.visits)
+    return c.visit_history
 
 
 @query(f"{TARGET} optimizedhivregimen:i", "o_pharm", staged=True)

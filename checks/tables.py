@@ -18,6 +18,10 @@ NEEDED = {
 }
 
 
+# HotSpot compiles no method of more bytes than this and interprets it; Spark then runs a stage operator by operator instead.
+JIT_LIMIT = "8000"
+
+
 class ClinicTables(Mapping):
     """The seven raw tables, each planned when it is first asked for, over its own parquet scans."""
 
@@ -59,6 +63,7 @@ def _inline(sql: str, parts: dict[str, DataFrame]) -> str:
 
 
 def care(spark: SparkSession, folder: str, staged: bool = True) -> Care:
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", JIT_LIMIT)
     tables = ClinicTables(spark, folder)
     if staged:
         return Care(tables, START, END, stage)

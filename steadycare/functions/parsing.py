@@ -27,14 +27,28 @@ def parse_integer(value: Column) -> Column:
     return parse_number(value).try_cast("int")
 
 
+def _printable(value: Column) -> Column:
+    """Whether text starts with a visible ASCII character; a comparison of bytes."""
+    return (value >= "!") & (value < "\x7f")
+
+
 def blank_to_null(value: Column) -> Column:
-    return F.when(~value.rlike(r"^\s*$"), value)
+    return F.when(_printable(value), value).otherwise(F.when(~value.rlike(r"^\s*$"), value))
 
 
 def strip(value: Column) -> Column:
     return F.btrim(value, F.lit(WHITESPACE))
 
 
+def strip_once(value: Column) -> Column:
+    """`strip` for text that is mostly clean: what starts and ends with a visible character is left as it is.
+
+    The value is read several times, so it has to be a column, not an expression.
+    """
+    bare = _printable(value) & _printable(F.substring(value, -1, 1))
+    return F.when(bare, value).otherwise(strip(value))
+
+
 def lower_names(df: DataFrame, drop_characters: str = "") -> DataFrame:
     """Lower-case column names, with the given characters removed from them."""
     table = str.maketrans("", "", drop_characters)

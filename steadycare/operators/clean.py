@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clinical import lab_high, lab_label, lab_test, logical_due
-from ..functions.parsing import lower_names, map_strings, parse_date, parse_number, strip
+from ..functions.parsing import lower_names, map_strings, parse_date, parse_number, strip_once
 from .dedup import impute_due, one_per_day, one_per_key, with_key
 
 TREATMENTS = ("arv", "pmtct")
@@ -126,8 +126,8 @@ def clean_pharmacy(raw: DataFrame, start: str, end: str) -> DataFrame:
 def clean_people(raw: DataFrame) -> DataFrame:
     """One demographics row per key, text in lower case and without surrounding blanks."""
     df = with_key(lower_names(raw))
-    # blanks go after the lower-casing and, unlike in other tables, dates stay text here
-    df = map_strings(df.select("key", *PERSON_COLUMNS), lambda c: strip(F.lower(c)), ("key",))
+    # unlike in other tables, dates stay text here
+    df = map_strings(df.select("key", *PERSON_COLUMNS), lambda c: F.lower(strip_once(c)), ("key",))
     return one_per_key(df, PERSON_COLUMNS)
 
 
@@ -137,7 +137,7 @@ def visit_records(raw: DataFrame, start: str, end: str) -> DataFrame:
     dates = {"visitdate": parse_date(visited), "nextappointmentdate": parse_date(due)}
     df = with_key(lower_names(raw)).withColumns(dates)
     df = df.filter(visited.between(day(start), day(end)))
-    return map_strings(df, lambda c: strip(F.lower(c)), skip=("key",)).withColumn(
+    return map_strings(df, lambda c: F.lower(strip_once(c)), skip=("key",)).withColumn(
         "nextappointmentdate", logical_due(visited, due)
     )
 

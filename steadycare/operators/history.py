@@ -52,9 +52,13 @@ def lateness(targets: DataFrame) -> DataFrame:
     return df.withColumns(rolling).drop("visitdiff")
 
 
+def visit_columns(visits: DataFrame) -> list[str]:
+    """What a visit adds to a target."""
+    return [c for c in visits.columns if c not in SHARED_WITH_TARGET]
+
+
 def visits_side(visits: DataFrame) -> Latest:
-    columns = tuple(c for c in visits.columns if c not in SHARED_WITH_TARGET)
-    return Latest(visits, "visitdate", columns)
+    return Latest(visits, "visitdate", tuple(visit_columns(visits)))
 
 
 def pharmacy_side(pharmacy: DataFrame) -> Latest:
@@ -106,3 +110,14 @@ def full_history(
     """Visit, pharmacy and laboratory history with all as-of joins in one pass over the keys."""
     sides = [visits_side(visits), pharmacy_side(pharmacy), *lab_sides(lab)]
     return lab_classes(lateness(cascade(asof_join(targets, "visitdate", sides))))
+
+
+def contact_visit_history(contacts: DataFrame) -> DataFrame:
+    """`visit_history` of targets that have the columns of their own day's visit already, which is the latest one by then."""
+    return lateness(cascade(contacts))
+
+
+def contact_history(contacts: DataFrame, pharmacy: DataFrame, lab: DataFrame) -> DataFrame:
+    """`full_history` of such targets: visits are neither read again nor carried over the rows of other tables."""
+    sides = [pharmacy_side(pharmacy), *lab_sides(lab)]
+    return lab_classes(contact_visit_history(asof_join(contacts, "visitdate", sides)))

@@ -13,14 +13,15 @@ OPEN_OUTCOMES = ("active", "loss to follow up", "lost in hmis")
 TARGET_COLUMNS = ["key", "visitdate", "nad", "nad_imputation_flag", "sitecode", "visitdiff", "iit"]
 
 
-def stack_contacts(visits: DataFrame, pharmacy: DataFrame) -> DataFrame:
-    """Clinical and pharmacy contacts by name, with their type."""
+def stack_contacts(visits: DataFrame, pharmacy: DataFrame, carried: list[str] | None = None) -> DataFrame:
+    """Clinical and pharmacy contacts by name, with their type; `carried` names columns of the visit that go along as a struct."""
     shared = ["nad_imputation_flag", "sitecode"]
     nad = F.col("nad_imputed").alias("nad")
-    clinical = visits.select("key", "visitdate", nad, *shared, F.lit("clinical").alias("type"))
+    visit = [F.struct(*carried).alias("visit")] if carried else []
+    clinical = visits.select("key", "visitdate", nad, *shared, F.lit("clinical").alias("type"), *visit)
     dispensed = F.col("dispensedate").alias("visitdate")
     return clinical.unionByName(
-        pharmacy.select("key", dispensed, nad, *shared, F.lit("pharmacy").alias("type"))
+        pharmacy.select("key", dispensed, nad, *shared, F.lit("pharmacy").alias("type")), allowMissingColumns=True
     )
 
 
@@ -29,17 +30,18 @@ def merge_contacts(stacked: DataFrame) -> DataFrame:
 
     Days with both a visit and a dispense become `both`; days with only a dispense drop. Both inputs
     hold one row per key and day, so a group has at most two rows. One sort by key and date serves
-    this and all later windows on the patient.
+    this and all later windows on the patient. Every day that stays has a visit, so a carried `visit` is never missing.
     """
     same_day = Window.partitionBy("key", "visitdate")
     best = same_day.orderBy("nad_imputation_flag", F.col("nad").desc(), "type")
     whole = best.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    known = [c for c in ("sitecode", "visit") if c in stacked.columns]
     return (
         stacked.withColumns(
             {
                 "_rank": F.row_number().over(best),
                 "_rows": F.count(F.lit(1)).over(whole),
-                "sitecode": F.first("sitecode", ignorenulls=True).over(whole),
+                **{c: F.first(c, ignorenulls=True).over(whole) for c in known},
             }
         )
         .filter("_rank = 1")
@@ -119,8 +121,10 @@ def before_last(contacts: DataFrame) -> DataFrame:
     return contacts.filter(F.col("actualreturndate").isNotNull())
 
 
-def labelled_contacts(visits: DataFrame, pharmacy: DataFrame, people: DataFrame) -> DataFrame:
-    merged = merge_contacts(stack_contacts(visits, pharmacy))
+def labelled_contacts(
+    visits: DataFrame, pharmacy: DataFrame, people: DataFrame, carried: list[str] | None = None
+) -> DataFrame:
+    merged = merge_contacts(stack_contacts(visits, pharmacy, carried))
     return return_difference(due_never_earlier(merged)).join(outcomes(people), "key", "left")
 
 

@@ -54,23 +54,33 @@ class Care:
 
     @cached_property
     def contacts(self) -> DataFrame:
-        return targets.labelled_contacts(self.visits, self.pharmacy, self.raw["dem"])
+        carried = history.visit_columns(self.visits)
+        return targets.labelled_contacts(self.visits, self.pharmacy, self.raw["dem"], carried)
 
     @cached_property
     def sites(self) -> DataFrame:
         return self.stage(targets.site_latest(self.visits), "sites")
 
     @cached_property
-    def targets(self) -> DataFrame:
+    def target_visits(self) -> DataFrame:
+        """Targets with the columns of their visit: a target's day always has one."""
         if self.own_contacts_only:
             labelled = targets.before_last(self.contacts)
         else:
             labelled = targets.resolve_last(self.contacts, self.sites)
-        return self.stage(labelled.select(*targets.TARGET_COLUMNS), "targets")
+        return self.stage(labelled.select(*targets.TARGET_COLUMNS, "visit.*"), "targets")
+
+    @cached_property
+    def targets(self) -> DataFrame:
+        return self.target_visits.select(*targets.TARGET_COLUMNS)
+
+    @cached_property
+    def visit_history(self) -> DataFrame:
+        return history.contact_visit_history(self.target_visits)
 
     @cached_property
     def history(self) -> DataFrame:
-        return history.full_history(self.targets, self.visits, self.pharmacy, self.lab)
+        return history.contact_history(self.target_visits, self.pharmacy, self.lab)
 
     @cached_property
     def rolling(self) -> DataFrame:

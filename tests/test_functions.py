@@ -167,3 +167,24 @@ def test_big_driver_tables_are_shuffled_once_by_their_join_key(spark, tmp_path):
     spark.range(50).selectExpr(*[f"id as {c}" for c in NEEDED["lineitem"]]).write.parquet(str(tmp_path / "lineitem.parquet"))
     plan = ClinicTables(spark, str(tmp_path))._read("lineitem")._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression [l_orderkey" in plan
+
+
+def test_quick_paths_agree_with_the_plain_forms(values):
+    odd = ["", " ", "\t\n", "x", " x", "x ", "\u0085", "  ", "é", "é ", "a b", "\x7f", " \x7f\r", "~", "!", "٠", "x\x0b", None]
+    assert values(parsing.strip_once, "v string", odd) == values(parsing.strip, "v string", odd)
+    plain = lambda v: F.when(~v.rlike(r"^\s*$"), v)
+    assert values(parsing.blank_to_null, "v string", odd) == values(plain, "v string", odd)
+
+
+def test_clean_text_needs_no_trimming_and_no_regular_expression(spark):
+    df = spark.range(1).select(F.lit("x").alias("v"))
+    for function, slow in ((parsing.blank_to_null, "RLIKE"), (parsing.strip_once, "trim")):
+        sql = function(df["v"])._jc.toString()
+        assert sql.startswith("CASE WHEN ") and slow.lower() in sql.lower().split(" else ")[1]
+
+
+def test_clinic_queries_leave_no_method_to_the_interpreter(spark, tmp_path):
+    from checks.tables import care
+
+    care(spark, str(tmp_path))
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
