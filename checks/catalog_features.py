@@ -117,7 +117,7 @@ def loc_rolling(c):
 
 @query(
     f"sitecode rolling_weighted_noshow:r rolling_weighted_dayslate:r txcurr:r {FACILITY}",
-    "o_loc_latest", staged=True,
+    "o_loc_latest", staged=True, visits="",
 )
 def loc_latest(c):
     return c.latest_sites
@@ -125,7 +125,7 @@ def loc_latest(c):
 
 @query(
     f"key visitdate sitecode most_recent_vl ahd:i rolling_weighted_noshow:r rolling_weighted_dayslate:r txcurr:r {FACILITY}",
-    "select h.*, l.* exclude (sitecode) from o_history h left join o_loc_latest l using (sitecode)", staged=True,
+    "select h.*, l.* exclude (sitecode) from o_history h left join o_loc_latest l using (sitecode)", staged=True, visits=" ".join(hs.LAB_INPUTS),
 )
 def score_context(c):
     return c.scoring_features(c.latest_sites)

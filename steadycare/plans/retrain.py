@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parsing import underscore_names
-from ..operators import evaluate, models, scoring, splits
+from ..operators import evaluate, history, models, scoring, splits
 from ..sources.layout import PatientTables
 from ..sources.readers import CLINICAL_TABLES, rows_by_request
 from ..sources.sinks import write_csv, write_model, write_site_table
@@ -71,13 +71,14 @@ def retrain(care: Care, settings: RefreshSettings, folder: str, at: datetime | N
 def score_requests(
     requests: DataFrame, raw: dict[str, DataFrame] | PatientTables, period: tuple[str, str], site_table: DataFrame,
     scorer: scoring.Scorer, thresholds: DataFrame, settings: RefreshSettings, settle=stage, on: date | None = None,
+    visit_columns: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """Answer every request (patient, site, and dates `start` and `end`) with a score, a category and risk factors.
 
     A request without dates is for `period`, one without a site for all sites of its patient. From `PatientTables` only
     the buckets of requested patients are read. Only rows of a requested patient and period go on after the scan; from there
     on it is the same work as for training. A patient's answer does not depend on who else, or which other period, is
-    requested.
+    requested. `visit_columns`: the visit features that the scorer reads, by default all; what the report reads is added to them.
     """
     first, last = (F.lit(day).cast("date") for day in period)
     asked = requests.withColumns(
@@ -88,7 +89,9 @@ def score_requests(
     )
     tables = {name: raw.of_patients(name, asked) for name in CLINICAL_TABLES} if isinstance(raw, PatientTables) else raw
     wanted = {name: rows_by_request(tables[name], asked, name) for name in CLINICAL_TABLES}
-    care = Care(wanted, *ALWAYS, stage=settle, own_contacts_only=True)
+    if visit_columns is not None:
+        visit_columns = tuple(dict.fromkeys([*visit_columns, "emr", *scoring.VISIT_FACTORS, *history.LAB_INPUTS]))
+    care = Care(wanted, *ALWAYS, stage=settle, own_contacts_only=True, visit_columns=visit_columns)
     scored = scoring.batch_score(
         care.scoring_features(site_table), scorer, thresholds, settings.emr_allow,
         settings.emr_positive, settings.default_site, on,

@@ -203,3 +203,18 @@ def test_pharmacy_only_days_drop_and_due_dates_do_not_go_back(frame):
     ]
     numbers = targets.visit_number(targets.return_difference(merged)).orderBy("visitdate")
     assert [r["num_visit"] for r in numbers.collect()] == [1, 0]
+
+
+def test_ties_after_the_wanted_columns_are_left_out(frame):
+    """Rows of one day that tie: what is wanted is the same with and without the columns that come later in the order."""
+    raw = "PatientPKHash string, SiteCode string, VisitDate string, NextAppointmentDate string, VisitType string, Emr string, Adherence string"
+    same = [("p", "1", "2021-01-01", "2021-02-01", t, e, a) for t in ("b", "a", None) for e in ("y", None, "x") for a in ("poor", "good")]
+    other = [("p", "1", "2021-03-01", "2021-04-01", "z", "w", "fair"), (None, "1", "2021-03-01", None, "z", "w", "fair")]
+    df = frame(raw, *same, *other)
+    whole = clean.daily_visits(df, "2020-01-01", "2023-01-01")
+    for wanted in ([], ["visittype"], ["emr"], ["visittype", "adherence"]):
+        less = clean.daily_visits(df, "2020-01-01", "2023-01-01", visits.inputs_of(wanted))
+        kept = ["key", "visitdate", "nextappointmentdate", "sitecode", *wanted]
+        assert rows(less.select(*kept), "visitdate") == rows(whole.select(*kept), "visitdate")
+        assert less.columns == whole.columns
+    assert visits.inputs_of(["regimen_switch", "bmi", "emr"]) == {"currentregimen", "weight", "emr"}

@@ -282,6 +282,19 @@ def test_a_hot_patient_gives_the_same_labels(spark):
     assert plain.exceptAll(again).count() == 0 and again.exceptAll(plain).count() == 0
 
 
+def test_only_the_visit_features_that_are_read_are_made(spark):
+    whole, less = Care(ClinicTables(spark, DATA), START, END), Care(ClinicTables(spark, DATA), START, END, visit_columns=("emr",))
+    fields = ["key", "visitdate", "nad", "iit", "emr", "lateness_last5", "cascadestatus"]
+    from steadycare.operators import history
+
+    want, got = (history.visit_history(c.targets, c.visits).select(fields) for c in (whole, less))
+    assert want.exceptAll(got).count() == 0 and got.exceptAll(want).count() == 0 < got.count()
+    assert set(less.visits.columns) == {*history.SHARED_WITH_TARGET, "emr"}
+    lazy = Care(ClinicTables(spark, DATA), START, END, lambda df, name: df, visit_columns=("emr",))
+    text = plan_text(lazy.visits)
+    assert "currentregimen" not in text and "whostage" in text  # a tie before emr stays
+
+
 def test_entry(spark):
     assert entry(spark).count() > 0
 
