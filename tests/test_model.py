@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import catalog_model
-from steadycare.operators import evaluate, models, prepare, ranks, scoring, splits
+from steadycare.operators import evaluate, forests, models, prepare, ranks, scoring, splits
 from steadycare.plans import search
 from steadycare.sources.sinks import read_artefacts, read_encoder, read_thresholds, write_model
 from steadycare.sources.staging import stage
@@ -251,6 +251,32 @@ def test_a_search_runs_every_grid_and_saves_what_ended(learnable, spark, tmp_pat
     assert set(best) == set(grids) and all(r.folds == 2 for r in best.values())
 
 
+def test_smaller_forests_are_parts_of_the_largest(learnable, spark):
+    """Shares of every row: of the first trees as of Spark's own trees, of a smaller depth as of a forest that Spark grows to it."""
+    encoded = models.fit_encoder(learnable, learnable).apply(learnable.withColumn("slice", F.lit("test")))
+    grown = {d: models.forest(encoded, trees=4, depth=d, feature_share=1.0, min_rows=2) for d in (2, 3, 5)}
+    forms = {0: (4, 5), 1: (4, 3), 2: (4, 2), 3: (3, 5)}
+    got = forests.scores(encoded.select("slice", F.col("key").alias("iit"), "features"), forests.read_forest(grown[5], spark), forms)
+    found = {(r.grid_row, r.iit): r.score for r in got.collect()}
+    assert len(found) == 4 * 600
+    for number, depth in ((0, 5), (1, 3), (2, 2)):
+        want = {r.key: r.score for r in models.predict(grown[depth], encoded).collect()}
+        assert {k: found[number, k] for k in want} == pytest.approx(want)
+    trees = [{r.key: r.score for r in models.predict(tree, encoded).collect()} for tree in grown[5].trees[:3]]
+    assert {k: found[3, k] for k in trees[0]} == pytest.approx({k: sum(t[k] for t in trees) / 3 for k in trees[0]})
+
+
+def test_a_search_grows_forests_of_one_family_once(learnable, spark, tmp_path, monkeypatch):
+    fitted, real = [], models.TRAINERS["forest"]
+    monkeypatch.setitem(models.TRAINERS, "forest", lambda train, val, **choice: fitted.append(choice) or real(train, val, **choice))
+    grids = {"forest": {"trees": [2, 4], "depth": [2, 3], "min_rows": [1, 10]}}
+    out = search.search(learnable, TWO_FOLDS, str(tmp_path), grids).collect()
+    assert sorted((r.grid_row, r.fold) for r in out) == [(n, f) for n in range(8) for f in (1, 2)]
+    assert {r.grid_row: r.parameters for r in out} == {n: str(c) for n, c in enumerate(models.grid(**grids["forest"]))}
+    assert len(fitted) == 4 and all((c["trees"], c["depth"]) == (4, 3) for c in fitted)
+    assert len({r.ap_test for r in out if r.fold == 1}) > 4 and all(0 < r.ap_test <= 1 for r in out)
+
+
 def test_a_search_that_broke_goes_on_with_what_is_left(learnable, spark, tmp_path, monkeypatch):
     grids, fitted, real = {"logistic": GRIDS["logistic"]}, [], models.TRAINERS["logistic"]
 
