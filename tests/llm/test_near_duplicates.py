@@ -147,6 +147,40 @@ def test_frequent_shingles_are_exact(spark):
     assert len(keys) == 4
 
 
+def test_shingles_of_few_texts_are_counted_exactly(spark):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(30)]
+    texts = [" ".join(rng.choices(words[: rng.choice((6, 30))], k=40)) for _ in range(120)] + ["a b c d e f"] * 3
+    rows = [(i % 4, rng.randrange(1, 4), t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "block long, copies long, text string").repartition(3)
+    found = icws.rare_answers(df, spark.sparkContext.broadcast((np.zeros(0, np.uint64), np.zeros(0)))).collect()
+    counts, own = {}, {}
+    for block, copies, text in rows:
+        for key in icws.shingles(icws.Flat(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)])))[0].tolist():
+            counts[key] = counts.get(key, 0) + copies
+            own.setdefault(block, set()).add(key)
+    got = {}
+    for r in found:
+        got.setdefault(r.block, {}).update(zip(np.frombuffer(r.keys, "<u8").tolist(), np.frombuffer(r.texts, "<i8").tolist()))
+    assert {block: {k: counts[k] for k in keys if counts[k] > 1} for block, keys in own.items()} == got
+    assert len(set(counts.values())) > 5
+
+
+def test_shingles_of_few_texts_differ_in_weight(spark):
+    """Of 300 texts, two share shingles that no other holds, and what sets them apart is common to 21; of two others it is the other way round."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    run = lambda n: [word() for _ in range(n)]
+    first, ends, second = run(43), (run(5), run(5)), run(44)
+    texts = [first + ends[0], first + ends[1], second + run(5), run(5) + second]
+    texts += [run(100) + first[-4:] + end for end in ends for _ in range(20)] + [second + run(200) for _ in range(20)]
+    texts += [run(20) for _ in range(300 - len(texts))]
+    assert [len(shingle_set(" ".join(a)) & shingle_set(" ".join(b))) for a, b in (texts[:2], texts[2:4])] == [39, 40]  # of 49 and of 50
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in icws.near_duplicates(df).collect()}
+    assert got == {i: 0 if i == 1 else i for i in range(300)}
+
+
 def test_pipeline_stages_take_effect(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     labels, benchmark = spark.read.parquet(f"{DATA}/labels.parquet"), spark.read.parquet(f"{DATA}/benchmark.parquet")
